@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from arrayloom.llm import mixing, sharding, vectors
+from arrayloom.llm import bpe, mixing, secrets, sharding, toxicity, vectors
 
-QUERIES = {f.__name__: f for f in (mixing.op2_source_mixing, sharding.op4_hilbert_sharding, vectors.op10_vector_approximation_search)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        toxicity.op1_toxicity_pu,
+        mixing.op2_source_mixing,
+        bpe.op3_bpe_codec,
+        sharding.op4_hilbert_sharding,
+        secrets.op8_secret_formats,
+        vectors.op10_vector_approximation_search,
+    )
+}
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
     "op10_vector_approximation_search": vectors.ORACLE,
