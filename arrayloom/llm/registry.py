@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arrayloom.llm import bpe, mixing, secrets, sharding, toxicity, vectors
+from arrayloom.llm import bpe, fingerprints, mixing, secrets, sharding, toxicity, vectors
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,7 @@ QUERIES = {
         bpe.op3_bpe_codec,
         sharding.op4_hilbert_sharding,
         secrets.op8_secret_formats,
+        fingerprints.op9_i_match,
         vectors.op10_vector_approximation_search,
     )
 }
