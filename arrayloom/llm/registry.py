@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arrayloom.llm import bpe, fingerprints, mixing, secrets, sharding, toxicity, vectors
+from arrayloom.llm import bpe, fingerprints, mixing, neardup, secrets, sharding, toxicity, vectors
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         mixing.op2_source_mixing,
         bpe.op3_bpe_codec,
         sharding.op4_hilbert_sharding,
+        neardup.op7_minhash_multi_index,
         secrets.op8_secret_formats,
         fingerprints.op9_i_match,
         vectors.op10_vector_approximation_search,
@@ -18,5 +19,6 @@ QUERIES = {
 }
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
+    "op7_minhash_multi_index": neardup.ORACLE,
     "op10_vector_approximation_search": vectors.ORACLE,
 }
