@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arrayloom.llm import bpe, fingerprints, mixing, neardup, secrets, sharding, toxicity, vectors
+from arrayloom.llm import bpe, fingerprints, mixing, neardup, secrets, sharding, substrings, toxicity, vectors
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         mixing.op2_source_mixing,
         bpe.op3_bpe_codec,
         sharding.op4_hilbert_sharding,
+        substrings.op5_repeated_phrases,
         neardup.op7_minhash_multi_index,
         secrets.op8_secret_formats,
         fingerprints.op9_i_match,
@@ -19,6 +20,7 @@ QUERIES = {
 }
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
+    "op5_repeated_phrases": substrings.ORACLE,
     "op7_minhash_multi_index": neardup.ORACLE,
     "op10_vector_approximation_search": vectors.ORACLE,
 }
