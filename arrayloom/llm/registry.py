@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from arrayloom.llm import bpe, fingerprints, mixing, neardup, secrets, sharding, substrings, toxicity, vectors
+from arrayloom.llm import bpe, fingerprints, mixing, neardup, secrets, sharding, substrings, suffixes, toxicity, vectors
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,7 @@ QUERIES = {
         bpe.op3_bpe_codec,
         sharding.op4_hilbert_sharding,
         substrings.op5_repeated_phrases,
+        suffixes.op6_common_prefix_intervals,
         neardup.op7_minhash_multi_index,
         secrets.op8_secret_formats,
         fingerprints.op9_i_match,
