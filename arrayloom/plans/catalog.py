@@ -1,24 +1,327 @@
-"""Registered queries: each takes (spark, sf_dir); ORACLES holds the DuckDB twin of each."""
+"""Registered queries: tables are written as array files once, then read by the engine. ORACLES holds the DuckDB twin of each."""
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import uuid
+from functools import wraps
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from arrayloom import api
+from arrayloom.format.writer import Writer
+from arrayloom.sources.sink import write_files
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
 FLAGSHIP = "pricing_summary"
+_made: dict[tuple[str, str], list[str]] = {}
+
+
+def query(sql: str):
+    def register(f):
+        QUERIES[f.__name__] = f
+        ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder for array files that all workers see: below spark.checkpoint.dir where the session names one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared and "://" in shared and not shared.startswith("file://"):
+        raise ValueError("array files need a shared folder with plain file access")
+    if shared:
+        return os.path.join(shared.removeprefix("file://").removeprefix("file:"), f"array-files-{uuid.uuid4().hex}")
+    folder = tempfile.mkdtemp(prefix="array-files-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def once(make):
+    """Files of one table set, made on first use in a session."""
+
+    @wraps(make)
+    def kept(spark: SparkSession, sf_dir: str) -> list[str]:
+        key = make.__name__, sf_dir
+        if key not in _made or not all(map(os.path.exists, _made[key])):
+            _made[key] = make(spark, sf_dir)
+        return _made[key]
+
+    return kept
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@once
+def lineitem_files(spark, sf_dir):
+    """Line items in order of flag, status, ship date and key, range-partitioned; flag and status as runs."""
+    items = table(spark, sf_dir, "lineitem").orderBy("l_returnflag", "l_linestatus", "l_shipdate", "l_orderkey", "l_linenumber")
+    return write_files(items, scratch(spark), "/lineitem", runs=("l_returnflag", "l_linestatus"))
+
+
+@once
+def lineitem_chunked(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice").orderBy("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice").coalesce(1)
+    return write_files(items, scratch(spark), "/", chunk=4_096, deflate=4, latest=True)
+
+
+@once
+def orders_files(spark, sf_dir):
+    return write_files(table(spark, sf_dir, "orders").orderBy("o_orderkey").coalesce(1), scratch(spark), "/orders")
+
+
+@once
+def customer_files(spark, sf_dir):
+    return write_files(table(spark, sf_dir, "customer").orderBy("c_custkey").coalesce(1), scratch(spark), "/customer")
+
 
+@once
+def embedding_files(spark, sf_dir):
+    return write_files(table(spark, sf_dir, "embeddings").orderBy("vec_id").coalesce(1), scratch(spark), "/e", chunk=256, deflate=1)
 
+
+@once
+def event_files(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type").orderBy("event_id").coalesce(1)
+    return write_files(events, scratch(spark), "/", runs=("event_type",))
+
+
+@once
+def small_files(spark, sf_dir):
+    """One file with a group a table, scalars, short datasets, attributes and links."""
+    path = os.path.join(scratch(spark), "tables.h5")
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    nation = table(spark, sf_dir, "nation").orderBy("n_nationkey").toPandas()  # tables of fixed size
+    region = table(spark, sf_dir, "region").orderBy("r_regionkey").toPandas()
+    w = Writer(path, latest=True)
+    w.dataset("/nation/n_nationkey", nation["n_nationkey"].to_numpy(np.int32))
+    w.dataset("/nation/n_regionkey", nation["n_regionkey"].to_numpy(np.int32))
+    w.dataset("/nation/n_name", nation["n_name"].to_numpy(object))
+    w.dataset("/region/r_regionkey", region["r_regionkey"].to_numpy(np.int32)).attributes |= {"unit": "key", "rows": np.int64(len(region))}
+    w.dataset("/region/r_name", region["r_name"].to_numpy(object))
+    w.dataset("/scale", np.float64(2.5))
+    w.dataset("/label", np.array("fixed", object))
+    w.root.attributes |= {"title": "tables", "version": np.int32(3)}
+    w.group("/nation").attributes["rows"] = np.int64(len(nation))
+    w.soft("/countries", "/nation")
+    w.soft("/missing", "/nowhere")
+    w.external("/elsewhere", "other.h5", "/x")
+    w.close()
+    return [path]
+
+
+def items(spark, sf_dir, *names, mode="auto", **options):
+    return api.read(spark, lineitem_files(spark, sf_dir), *names, mode=mode, **options)
+
+
+FLAG, STATUS = (api.rse(f"/lineitem/{c}_starts", f"/lineitem/{c}_values") for c in ("l_returnflag", "l_linestatus"))
+FLAG, STATUS = api.alias("l_returnflag", FLAG), api.alias("l_linestatus", STATUS)
+
+
+@query("""SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price, count(*) AS count_order
+FROM lineitem GROUP BY ALL""")
 def pricing_summary(spark, sf_dir):
-    """Line-item totals by return flag and status."""
-    from pyspark.sql import functions as F
-
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return (
-        items.filter(F.col("l_shipdate") <= F.lit("1998-09-02").cast("timestamp_ntz"))
-        .groupBy("l_returnflag", "l_linestatus")
-        .agg(F.sum("l_quantity").alias("sum_qty"), F.count(F.lit(1)).alias("count_order"))
-    )
-
-
-QUERIES = {"pricing_summary": pricing_summary}
-ORACLES = {
-    "pricing_summary": """SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, count(*) AS count_order
-FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL"""
-}
+    """Line-item totals by flag and status, both run-encoded."""
+    rows = items(spark, sf_dir, "/lineitem/l_quantity", "/lineitem/l_extendedprice", "/lineitem/l_discount", FLAG, STATUS, mode="full")
+    price = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").alias("sum_qty"), F.round(F.sum(price), 2).alias("sum_disc_price"), F.count(F.lit(1)).alias("count_order"))
+
+
+@query("SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice) - 1 AS index, l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def stack_columns(spark, sf_dir):
+    """Datasets side by side with the row index, from compressed chunks."""
+    return api.read(spark, lineitem_chunked(spark, sf_dir), api.index(), "/l_orderkey", "/l_linenumber", "/l_quantity")
+
+
+@query("SELECT l_orderkey, l_quantity * l_extendedprice AS amount FROM lineitem")
+def full_scan(spark, sf_dir):
+    """The batch form of the scan."""
+    rows = api.read(spark, lineitem_chunked(spark, sf_dir), "/l_orderkey", "/l_quantity", "/l_extendedprice", mode="full")
+    return rows.select("l_orderkey", (F.col("l_quantity") * F.col("l_extendedprice")).alias("amount"))
+
+
+@query("SELECT n_name, r_name FROM (SELECT *, row_number() OVER (ORDER BY n_nationkey) AS k FROM nation) JOIN (SELECT *, row_number() OVER (ORDER BY r_regionkey) AS k FROM region) USING (k)")
+def shortest_dataset(spark, sf_dir):
+    """Rows end with the shortest dataset."""
+    return api.read(spark, small_files(spark, sf_dir), "/nation/n_name", "/region/r_name")
+
+
+@query("SELECT n_name, 2.5::DOUBLE AS scale, 'fixed' AS label, n_nationkey * 2.5::DOUBLE AS scaled FROM nation")
+def scalar_broadcast(spark, sf_dir):
+    rows = api.read(spark, small_files(spark, sf_dir), "/nation/n_name", "/nation/n_nationkey", "/scale", "/label")
+    return rows.select("n_name", "scale", "label", (F.col("n_nationkey") * F.col("scale")).alias("scaled"))
+
+
+@query("SELECT event_id, event_type FROM events")
+def rse_expand(spark, sf_dir):
+    """Runs by their starts."""
+    return api.read(spark, event_files(spark, sf_dir), "/event_id", api.alias("event_type", api.rse("/event_type_starts", "/event_type_values")))
+
+
+@query("SELECT event_id, event_type FROM events")
+def ree_expand(spark, sf_dir):
+    """Runs by their inclusive ends."""
+    return api.read(spark, event_files(spark, sf_dir), "/event_id", api.alias("event_type", api.ree("/event_type_ends", "/event_type_values")), mode="full")
+
+
+@query("SELECT l_linestatus, count(*) AS n, sum(l_quantity) AS qty FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL")
+def run_filter(spark, sf_dir):
+    """A filter on a run-encoded column drops row ranges before any dataset is read."""
+    rows = items(spark, sf_dir, "/lineitem/l_quantity", FLAG, STATUS)
+    return rows.filter("l_returnflag = 'R'").groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
+
+
+@query("SELECT index, o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS index FROM orders) WHERE index BETWEEN 100 AND 119 OR index = 7")
+def index_filter(spark, sf_dir):
+    rows = api.read(spark, orders_files(spark, sf_dir), api.index(), "/orders/o_orderkey")
+    return rows.filter("index between 100 and 119 or index = 7")
+
+
+@query("SELECT vec_id, embedding[1]::DOUBLE AS first, embedding[len(embedding)]::DOUBLE AS last, len(embedding)::INTEGER AS dims FROM embeddings")
+def inner_dimensions(spark, sf_dir):
+    """A two-dimensional dataset is a column of arrays."""
+    rows = api.read(spark, embedding_files(spark, sf_dir), "/e/vec_id", "/e/embedding")
+    return rows.select("vec_id", F.element_at("embedding", 1).cast("double").alias("first"), F.element_at("embedding", -1).cast("double").alias("last"), F.size("embedding").alias("dims"))
+
+
+@query("SELECT count(*) AS rows, sum(l_orderkey)::BIGINT AS keys, true AS gapless FROM lineitem")
+def many_files(spark, sf_dir):
+    """All parts as one table; each file's index begins at 0."""
+    rows = items(spark, sf_dir, api.index(), "/lineitem/l_orderkey", filename=True)
+    one = rows.groupBy("filename").agg(F.count(F.lit(1)).alias("rows"), F.sum("l_orderkey").alias("keys"), F.min("index").alias("low"), (F.max("index") + 1).alias("high"))
+    return one.agg(F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.bool_and((F.col("low") == 0) & (F.col("high") == F.col("rows"))).alias("gapless"))
+
+
+@query("SELECT count(*) AS n FROM lineitem")
+def count_only(spark, sf_dir):
+    """Counting reads no dataset."""
+    return items(spark, sf_dir, api.index(), "/lineitem/l_quantity", FLAG).agg(F.count(F.lit(1)).alias("n"))
+
+
+TREE = [
+    ("/", "group", None), ("/countries", "group", None), ("/countries/n_name", "dataset", "string"), ("/countries/n_nationkey", "dataset", "int32"), ("/countries/n_regionkey", "dataset", "int32"),
+    ("/elsewhere", "external", None), ("/label", "dataset", "string"), ("/missing", "link", None), ("/nation", "group", None), ("/nation/n_name", "dataset", "string"),
+    ("/nation/n_nationkey", "dataset", "int32"), ("/nation/n_regionkey", "dataset", "int32"), ("/region", "group", None), ("/region/r_name", "dataset", "string"), ("/region/r_regionkey", "dataset", "int32"), ("/scale", "dataset", "float64"),
+]
+_ROWS = ", ".join(f"('{p}', '{t}', {'NULL' if d is None else repr(d)})" for p, t, d in TREE)
+
+
+@query(f"SELECT path, type, dtype, CASE WHEN path LIKE '/region/%' THEN (SELECT count(*) FROM region) WHEN dtype IS NOT NULL AND (path LIKE '/nation/%' OR path LIKE '/countries/%') THEN (SELECT count(*) FROM nation) END AS first_dim FROM (VALUES {_ROWS}) t(path, type, dtype)")
+def tree_listing(spark, sf_dir):
+    rows = api.tree(spark, small_files(spark, sf_dir))
+    return rows.select("path", "type", "dtype", F.get("shape", F.lit(0)).alias("first_dim"))
+
+
+@query("SELECT '/nation/' || c AS path, 'dataset' AS type, CASE c WHEN 'n_name' THEN 'string' ELSE 'int32' END AS dtype FROM (VALUES ('n_name'), ('n_nationkey'), ('n_regionkey')) t(c)")
+def group_listing(spark, sf_dir):
+    return api.ls(spark, small_files(spark, sf_dir), "/nation").select("path", "type", "dtype")
+
+
+@query("SELECT '/region/r_regionkey' AS path, 'key' AS unit, (SELECT count(*) FROM region) AS rows UNION ALL SELECT '/region/r_name', 'none', -1")
+def listed_attributes(spark, sf_dir):
+    return api.ls(spark, small_files(spark, sf_dir), "/region", api.attr("unit", "none"), api.attr("rows", -1)).select("path", "unit", "rows")
+
+
+@query("SELECT 'tables' AS title, 3::INTEGER AS version")
+def object_attributes(spark, sf_dir):
+    return api.attributes(spark, small_files(spark, sf_dir), "/")
+
+
+@query("SELECT '/region/r_name' AS path, (SELECT list(r_name ORDER BY r_regionkey) FROM region) AS names, (SELECT count(*)::INTEGER FROM region) AS n")
+def row_value(spark, sf_dir):
+    """A dataset of a path column, as a variant."""
+    (file,) = small_files(spark, sf_dir)
+    rows = spark.createDataFrame([(file, "/region/r_name")], "file string, path string").withColumn("v", api.read_value()("file", "path"))
+    names = F.try_variant_get("v", "$", "array<string>")
+    return rows.select("path", names.alias("names"), F.size(names).alias("n"))
+
+
+@query("SELECT 'n_name' AS name, 'string' AS dtype UNION ALL SELECT 'n_nationkey', 'int32' UNION ALL SELECT 'n_regionkey', 'int32'")
+def row_listing(spark, sf_dir):
+    (file,) = small_files(spark, sf_dir)
+    rows = spark.createDataFrame([(file, "/nation")], "file string, path string").select(F.explode(api.ls_value()("file", "path")).alias("name", "entry"))
+    return rows.select("name", "entry.dtype")
+
+
+@query("SELECT c_mktsegment, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL")
+def join_scans(spark, sf_dir):
+    """An inner join of two scans, and its aggregate."""
+    orders = api.read(spark, orders_files(spark, sf_dir), "/orders/o_custkey", "/orders/o_totalprice")
+    customers = api.read(spark, customer_files(spark, sf_dir), "/customer/c_custkey", "/customer/c_mktsegment")
+    joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    return joined.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("SELECT a.index // 10 AS tens, count(*) AS pairs FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS index FROM orders) a JOIN (SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS index FROM customer) b ON a.index // 10 = b.index // 10 GROUP BY ALL")
+def join_on_expression(spark, sf_dir):
+    a = api.read(spark, orders_files(spark, sf_dir), api.alias("i", api.index()), "/orders/o_orderkey")
+    b = api.read(spark, customer_files(spark, sf_dir), api.alias("j", api.index()), "/customer/c_custkey")
+    joined = a.join(b, F.expr("i div 10 = j div 10"))
+    return joined.groupBy(F.expr("i div 10").alias("tens")).agg(F.count(F.lit(1)).alias("pairs"))
+
+
+@query("SELECT n_name, r_name FROM (SELECT n_name, row_number() OVER (ORDER BY n_nationkey) AS k FROM nation) FULL JOIN (SELECT r_name, row_number() OVER (ORDER BY r_regionkey) AS k FROM region) USING (k)")
+def positional_join(spark, sf_dir):
+    """Rows of two scans by their positions; the shorter one ends in nulls."""
+    a = api.read(spark, small_files(spark, sf_dir), api.index(), "/nation/n_name")
+    b = api.read(spark, small_files(spark, sf_dir), api.index(), "/region/r_name")
+    return a.join(b, "index", "full_outer").select("n_name", "r_name")
+
+
+@query("SELECT n_name, r_name FROM nation CROSS JOIN region")
+def cross_join(spark, sf_dir):
+    a = api.read(spark, small_files(spark, sf_dir), "/nation/n_name")
+    return a.crossJoin(F.broadcast(api.read(spark, small_files(spark, sf_dir), "/region/r_name")))  # two tables of fixed size
+
+
+@query("SELECT count(DISTINCT l_suppkey) AS suppliers, count(*) FILTER (l_quantity > 25) AS large, min(l_tax) AS low, max(l_tax) AS high, round(avg(l_extendedprice), 6) AS mean FROM lineitem")
+def aggregates(spark, sf_dir):
+    rows = items(spark, sf_dir, "/lineitem/l_suppkey", "/lineitem/l_quantity", "/lineitem/l_tax", "/lineitem/l_extendedprice")
+    return rows.agg(F.count_distinct("l_suppkey").alias("suppliers"), F.expr("count(*) filter (where l_quantity > 25)").alias("large"), F.min("l_tax").alias("low"), F.max("l_tax").alias("high"), F.round(F.avg("l_extendedprice"), 6).alias("mean"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+def top_rows(spark, sf_dir):
+    return api.read(spark, orders_files(spark, sf_dir), "/orders/o_orderkey", "/orders/o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
+
+
+@query("SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 5 OFFSET 20")
+def offset_rows(spark, sf_dir):
+    return api.read(spark, orders_files(spark, sf_dir), "/orders/o_orderkey").orderBy("o_orderkey").offset(20).limit(5)
+
+
+@query("SELECT n_nationkey AS k FROM nation UNION ALL SELECT r_regionkey FROM region EXCEPT ALL SELECT r_regionkey FROM region")
+def set_operations(spark, sf_dir):
+    nation = api.read(spark, small_files(spark, sf_dir), api.alias("k", "/nation/n_nationkey"))
+    region = api.read(spark, small_files(spark, sf_dir), api.alias("k", "/region/r_regionkey"))
+    return nation.unionAll(region).exceptAll(region)
+
+
+@query("SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
+def distinct_rows(spark, sf_dir):
+    return api.read(spark, orders_files(spark, sf_dir), "/orders/o_orderstatus", "/orders/o_orderpriority").distinct()
+
+
+@query("SELECT event_type, n, row_number() OVER (ORDER BY n DESC, event_type) AS rank FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type)")
+def window_rank(spark, sf_dir):
+    rows = api.read(spark, event_files(spark, sf_dir), "/event_id", api.alias("event_type", api.rse("/event_type_starts", "/event_type_values")))
+    counts = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "event_type")))  # one row a type
+
+
+@query("SELECT upper(n_name) AS upper_name, length(n_name) AS n, substr(n_name, 1, 3) AS head, replace(n_name, 'A', '_') AS replaced, contains(n_name, 'IN') AS has_in, strpos(n_name, 'A') AS at, coalesce(nullif(n_regionkey, 1), -1) AS region, greatest(n_nationkey, 10) AS larger FROM nation")
+def scalar_functions(spark, sf_dir):
+    n = api.read(spark, small_files(spark, sf_dir), "/nation/n_name", "/nation/n_regionkey", "/nation/n_nationkey")
+    return n.select(
+        F.upper("n_name").alias("upper_name"), F.length("n_name").cast("long").alias("n"), F.substring("n_name", 1, 3).alias("head"), F.replace("n_name", F.lit("A"), F.lit("_")).alias("replaced"),
+        F.contains("n_name", F.lit("IN")).alias("has_in"), F.locate("A", "n_name").cast("long").alias("at"), F.coalesce(F.expr("nullif(n_regionkey, 1)"), F.lit(-1)).alias("region"), F.greatest("n_nationkey", F.lit(10)).alias("larger"),
+    )
