@@ -50,24 +50,22 @@ class HttpBytes:
             raise ArrayFileError(f"Failed to open HDF5 file: {url}") from e
 
     def _fetch(self, offset: int, n: int) -> bytes:
-        if offset + n > self.size:
-            raise ArrayFileError(f"Attempted to read beyond end of remote file ({self.url})")
         request = urllib.request.Request(self.url, headers={"Range": f"bytes={offset}-{offset + n - 1}"})
         with urllib.request.urlopen(request, timeout=self.timeout) as r:
             out = r.read()
         return out[offset : offset + n] if r.status == 200 else out  # a server without ranges sends it all
 
     def read(self, offset: int, n: int) -> bytes:
-        if n == 0:
-            return b""
+        if offset + n > self.size:
+            raise ArrayFileError(f"Attempted to read beyond end of remote file ({self.url})")
         if n >= BLOCK_BYTES:
             return self._fetch(offset, n)
         out = b""
+        if not n:
+            return out
         for i in range(offset // BLOCK_BYTES, (offset + n - 1) // BLOCK_BYTES + 1):
             block = self.kept.pop(i, None)
             if block is None:
-                if offset + n > self.size:
-                    raise ArrayFileError(f"Attempted to read beyond end of remote file ({self.url})")
                 block = self._fetch(i * BLOCK_BYTES, min(BLOCK_BYTES, self.size - i * BLOCK_BYTES))
             self.kept[i] = block
             if len(self.kept) > BLOCKS:

@@ -15,7 +15,6 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,26 +112,31 @@ def ranges(spark: SparkSession, bound: Bound, names: set[str], rows_of: int = RA
     files = [(f.ordinal, f.path, f.rows, [c.path for c in f.columns]) for f in bound.files]
     schema = ", ".join(["__file int", "__path string", "__start long", "__end long", *[f"`{c.name}` {c.type}" for c in constants]])
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Arrow, not pandas: NaN is a value and must not become null.
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ordinal, path, rows in zip(batch["ordinal"], batch["path"], batch["rows"], strict=True):
-                runs, fixed = [], {}
+            for one in batch.to_pylist():
+                path, rows, runs, fixed = one["path"], one["rows"], {}, {}
                 file = fresh(path)
                 for c in constants:
                     if c.kind == "scalar":
                         fixed[c.name] = scalar(path, c)
                     else:
                         b, values = checked_runs(file, c)
-                        runs.append((c, normal_runs(b, rows, c.ends), decode(file, values.raw_rows(0, len(b)), values.type, c.path)))
-                start, end, which = segments(int(rows), [r for _, r, _ in runs], rows_of)
+                        runs[c.name] = normal_runs(b, rows, c.ends), arrow_array(decode(file, values.raw_rows(0, len(b)), values.type, c.path), c.type)
+                start, end, which = segments(rows, [r for r, _ in runs.values()], rows_of)
+                at_run = dict(zip(runs, which, strict=True))
                 for at in range(0, len(start), 10_000):
                     part = slice(at, at + 10_000)
-                    out = {"__file": np.full(len(start[part]), ordinal, np.int32), "__path": path, "__start": start[part], "__end": end[part]}
-                    for (c, _, values), run in zip(runs, which, strict=True):
-                        out[c.name] = pd.Series([None if r < 0 else plain(values[r], c.type) for r in run[part]], dtype=object)
-                    for name, value in fixed.items():
-                        out[name] = pd.Series([value] * len(start[part]), dtype=object)
-                    yield pd.DataFrame(out)[["__file", "__path", "__start", "__end", *[c.name for c in constants]]]
+                    n = len(start[part])
+                    out = [pa.array([one["ordinal"]] * n, pa.int32()), pa.array([path] * n, pa.string()), pa.array(start[part]), pa.array(end[part])]
+                    for c in constants:
+                        if c.kind == "scalar":
+                            out.append(pa.array([fixed[c.name]] * n, arrow_type(c.type)))
+                        else:
+                            run = at_run[c.name][part]
+                            out.append(runs[c.name][1].take(pa.array(run, mask=run < 0)))
+                    yield pa.RecordBatch.from_arrays(out, ["__file", "__path", "__start", "__end", *[c.name for c in constants]])
 
     listed = spark.createDataFrame([(o, p, r) for o, p, r, _ in files], "ordinal int, path string, rows long")
     if not constants:
@@ -140,7 +144,7 @@ def ranges(spark: SparkSession, bound: Bound, names: set[str], rows_of: int = RA
         start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(rows_of).cast("long")))
         plain_ranges = listed.filter("rows > 0").select(F.col("ordinal").alias("__file"), F.col("path").alias("__path"), start.alias("__start"), "rows")
         return plain_ranges.select("__file", "__path", "__start", F.least("rows", F.col("__start") + rows_of).alias("__end"))
-    return listed.repartition(min(len(files), 1_000)).mapInPandas(cut, schema)
+    return listed.repartition(min(len(files), 1_000)).mapInArrow(cut, schema)
 
 
 def scan(spark: SparkSession, bound: Bound, mode: str = "auto", rows_of: int = RANGE_ROWS) -> DataFrame:
@@ -211,7 +215,7 @@ def full_scan(split: DataFrame, bound: Bound) -> DataFrame:
                         if c.kind == "index":
                             data[c.name] = pa.array(rows)
                         elif c.name in constants:
-                            data[c.name] = pa.concat_arrays([part.column(c.name)]).take(pa.array(np.zeros(len(rows), np.int64)))
+                            data[c.name] = part.column(c.name).take(pa.array(np.zeros(len(rows), np.int64)))
                     names = [c.name for c in columns]
                     arrays = [data[n] for n in names]
                     if filename:
