@@ -2,7 +2,7 @@
 
 Defined results: a null text has size 0; a null source is a source of its own; documents of size 0 are kept in
 the result with nothing taken; an empty table gives an empty result. Rows that agree in key, id and size are
-interchangeable, so reruns give the same rows. Other columns pass through.
+interchangeable, so reruns give the same rows. Other columns pass through, but for those named as what is added.
 """
 
 from __future__ import annotations
@@ -56,8 +56,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EP
     floor(target): a document that starts at word p of the order is taken whole in each full epoch, and in the
     last one as far as the cut reaches.
     """
-    own = docs.columns
-    docs = docs.withColumn("__key", random_key(F.col("doc_id"), seed))
+    own = [c for c in docs.columns if c not in ("source_size", "target", "taken")]
+    docs = docs.select(*own).withColumn("__key", random_key(F.col("doc_id"), seed))
     sizes = materialise(docs.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"), F.count(F.lit(1)).alias("__rows")), "mix-sources")
     rows = sizes.agg(F.sum("__rows")).first()[0] or 0
     goal = targets(weighted(sizes.drop("__rows"), weights), most).select(F.col("source").alias("__source"), "source_size", "target")

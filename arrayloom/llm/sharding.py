@@ -70,7 +70,7 @@ def shard(rows: DataFrame, dims: list[Column], shards: int = SHARDS, bits: int =
     The rank of a row is the count of earlier cells, plus the earlier hash buckets of its cell, plus its place in
     its bucket. No task sorts more than a bucket, however hot a cell is.
     """
-    own = rows.columns
+    own = [c for c in rows.columns if c not in ("cell", "shard", "slot")]
     at = F.lit(0)
     for d in dims:
         at = at * (1 << bits) + d

@@ -35,41 +35,43 @@ def byte_elements():
     return lambda text: LETTERS[np.frombuffer(text.encode(), np.uint8)]
 
 
-def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes in order, common prefix with the one before) of bytes, by doubling the compared length from eight.
+def suffix_array(data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order, common prefix with the one before) of texts laid end to end, by doubling the compared length from seven.
 
-    The ranks by 8, 16, ... bytes are kept, and give each common prefix from the longest to the shortest.
+    ``room`` is how many bytes are left of a byte's text. A text's end is a symbol before all bytes and unlike
+    every other end, so a suffix that has ended within the compared length has a rank of its own. The ranks by 7,
+    14, ... symbols are kept, and give each common prefix from the longest to the shortest.
     """
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    padded = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
     key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = key << np.uint64(8) | padded[i : i + n].astype(np.uint64)
-    levels, length = [], 8
+    for i in range(7):
+        key = key << np.uint64(9) | np.where(room > i, padded[i : i + n], np.uint64(0))
+    levels, length = [], 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key, kind="stable")  # ends stand in the order of their texts
         sorted_ = key[order]
         rank = np.empty(n, np.int32)
-        rank[order] = np.cumsum(np.r_[0, sorted_[1:] != sorted_[:-1]]) + 1
+        rank[order] = np.cumsum(np.r_[True, (sorted_[1:] != sorted_[:-1]) | (room[order[1:]] < length)])
         levels.append((length, rank))
         if int(rank.max()) == n:
             break
         after = np.zeros(n, np.uint64)
         after[: max(n - length, 0)] = rank[length:]
+        after[room <= length] = 0
         key = rank.astype(np.uint64) << np.uint64(32) | after
         length *= 2
-    a, b = order[:-1].astype(np.int64), order[1:].astype(np.int64)
+    a, b = order[:-1], order[1:]
     common = np.zeros(n - 1, np.int64)
+    most = np.minimum(room[a], room[b])
     for length, rank in reversed(levels):
-        ranks = np.concatenate([rank, np.full(1, -1, np.int32)])
-        i, j = np.minimum(a + common, n), np.minimum(b + common, n)
-        same = (ranks[i] == ranks[j]) & (i < n) & (j < n)
-        common += np.where(same, length, 0)
-    for _ in range(7):
-        i, j = a + common, b + common
-        same = (i < n) & (j < n)
-        same &= padded[np.minimum(i, n)] == padded[np.minimum(j, n)]
-        common += same
+        inside = common < most
+        i, j = np.where(inside, a + common, 0), np.where(inside, b + common, 0)
+        common += np.where(inside & (rank[i] == rank[j]) & (common + length <= most), length, 0)
+    for _ in range(6):
+        inside = common < most
+        i, j = np.where(inside, a + common, 0), np.where(inside, b + common, 0)
+        common += inside & (data[i] == data[j])
     return order, np.r_[0, common]
 
 
@@ -81,10 +83,7 @@ def maximal_repeats(texts: list[bytes], least: int = LEAST) -> Iterator[tuple[in
     starts = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(texts), np.uint8)
     owner = np.repeat(np.arange(len(texts)), sizes)
-    order, common = suffix_array(data)
-    # A text's end cuts a common prefix.
-    room = starts[owner] + sizes[owner] - np.arange(len(data))
-    common[1:] = np.minimum(common[1:], np.minimum(room[order[1:]], room[order[:-1]]))
+    order, common = suffix_array(data, starts[owner] + sizes[owner] - np.arange(len(data)))
     before = np.concatenate([[-1], data[:-1].astype(np.int64)])
     heads = starts[sizes > 0]
     before[heads] = -1 - np.arange(len(heads))  # a text's first byte is preceded like no other

@@ -30,7 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with each run of secrets replaced by a mark."""
-    clean = secrets.scan(docs, secrets.learn(docs), redact=True)
+    clean = secrets.scan(docs, secrets.learn(docs), redact=True, out="__spans")
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return clean.select(*docs.columns)
@@ -38,16 +38,19 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the one that a source's budget cuts ends after its last word taken."""
-    mixed = mixing.mix(docs.withColumn("size", word_count(F.col("text")))).filter("taken > 0")
-    rest = F.expr("cast(taken % size as int)")
-    copies = F.expr("taken div size") + F.when(rest > 0, 1).otherwise(0)
-    each = mixed.withColumn("__rest", rest).select("*", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("__copy"))
-    cut = (F.col("__copy") * F.col("size")) > F.col("taken")
-    words = F.filter(F.split("text", BLANKS), lambda w: w != "")
-    each = each.withColumn("text", F.when(cut, F.array_join(F.slice(words, F.lit(1), F.greatest("__rest", F.lit(1))), " ")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        each = each.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return each.select(*docs.columns)
+    # The row travels in one column, so that none of its own names can clash.
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*docs.columns).alias("row"))
+    mixed = mixing.mix(rows).filter("taken > 0").withColumn("rest", F.expr("cast(taken % size as int)"))
+    copies = F.expr("taken div size") + F.when(F.col("rest") > 0, 1).otherwise(0)
+    each = mixed.select("row", "size", "taken", "rest", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"))
+    text = F.col("row.text")
+    words = F.filter(F.split(text, BLANKS), lambda w: w != "")
+    cut = F.array_join(F.slice(words, F.lit(1), F.greatest("rest", F.lit(1))), " ")
+    text = F.when(F.col("copy") * F.col("size") > F.col("taken"), cut).otherwise(text)
+    own = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": text}
+    if "n_chars" in own:
+        own["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return each.select(*[v.alias(c) for c, v in own.items()])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
