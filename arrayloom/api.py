@@ -10,6 +10,7 @@ from arrayloom.functions.definitions import alias, attr, index, ree, rse
 from arrayloom.functions.rowwise import attributes_value, ls_value, read_value
 from arrayloom.model import ArrayFileError
 from arrayloom.plans.bind import RANGE_ROWS, bind
+from arrayloom.sources.datasource import register_source
 from arrayloom.sources.listing import attributes, ls, tree
 from arrayloom.sources.paths import first_file
 from arrayloom.sources.scan import scan
@@ -33,7 +34,8 @@ def version():
 
 
 def register(spark: SparkSession) -> None:
-    """SQL functions read_value, ls_value, attributes_value over (file, path)."""
+    """SQL functions read_value, ls_value, attributes_value over (file, path), and the format ``arrayloom``."""
+    register_source(spark)
     for name, f in (("read_value", read_value()), ("ls_value", ls_value()), ("attributes_value", attributes_value())):
         spark.udf.register(name, f)
 

@@ -304,7 +304,11 @@ def parse_space(data: bytes, lengths: int) -> Space:
     if version == 2 and data[3] == 2:
         return Space(None)
     c = Cursor(data, 8 if version == 1 else 4, lengths=lengths)
-    return Space(tuple(c.length() for _ in range(rank)))
+    dims = tuple(c.length() for _ in range(rank))
+    if not data[2] & 1:
+        return Space(dims)
+    none = (1 << 8 * lengths) - 1
+    return Space(dims, tuple(None if m == none else m for m in (c.length() for _ in range(rank))))
 
 
 class Object:
@@ -577,12 +581,18 @@ class Object:
                 if start[0] < last and start[0] + lay.chunk[0] > first:
                     yield Chunk(start, address, n, mask)
         else:
-            per_row = int(np.prod(grid[1:])) if len(grid) > 1 else 1
+            # Chunks are numbered by the extents that the dataset may grow to.
+            most = self.space.most or dims
+            if None in most[1:]:
+                raise ArrayFileError(f"Unsupported chunk index: only the first dimension may be unlimited, in file: {f.path}")
+            grid = [grid[0], *[-(-m // c) for m, c in zip(most[1:], lay.chunk[1:], strict=True)]]
+            per_row = int(np.prod(grid[1:], dtype=np.int64))
             lo, hi = first // lay.chunk[0] * per_row, min(grid[0], -(-last // lay.chunk[0])) * per_row
             for number, (address, n, mask) in zip(range(lo, hi), self.array_entries(lo, hi, size), strict=False):
                 if address is not None:
-                    place = np.unravel_index(number, grid)
-                    yield Chunk(tuple(int(p) * c for p, c in zip(place, lay.chunk, strict=True)), address, n, mask)
+                    place = tuple(int(p) * c for p, c in zip(np.unravel_index(number, grid), lay.chunk, strict=True))
+                    if all(p < d for p, d in zip(place, dims, strict=True)):
+                        yield Chunk(place, address, n, mask)
 
     def array_entries(self, lo: int, hi: int, size: int) -> Iterator[tuple[int | None, int, int]]:
         """(address, bytes, filter mask) of chunks lo to hi of an implicit, fixed or extensible array."""

@@ -118,6 +118,8 @@ class Data(Node):
     compact: bool = False
     fill: Any = None
     shape: tuple[int, ...] | None = None  # of a dataset without stored values
+    index: str = "btree1"  # or single, implicit, fixed, extensible, btree2
+    most: tuple[int | None, ...] | None = None  # extents to grow to
 
 
 @dataclass
@@ -197,9 +199,12 @@ class Writer:
             n += len(part)
         return b"".join(places)
 
-    def space(self, dims: tuple[int, ...] | None) -> bytes:
+    def space(self, dims: tuple[int, ...] | None, most: tuple[int | None, ...] | None = None) -> bytes:
         if dims is None:
             return struct.pack("<4B", 2, 0, 0, 2)
+        if most:
+            ends = [UNDEFINED if m is None else m for m in most]
+            return struct.pack("<BBB5x", 1, len(dims), 1) + struct.pack(f"<{2 * len(dims)}Q", *dims, *ends)
         return struct.pack("<BBB5x", 1, len(dims), 0) + struct.pack(f"<{len(dims)}Q", *dims)
 
     def attribute(self, name: str, value) -> bytes:
@@ -245,7 +250,7 @@ class Writer:
         kind = node.type or (node.value.type if null else type_of(node.value))
         dims = None if null else node.shape if node.value is None else node.value.shape
         fill = b"" if node.fill is None else np.asarray(node.fill).tobytes()
-        out = [(1, self.space(dims)), (3, kind.message), (5, struct.pack("<4BI", 2, 2, 2, 1, len(fill)) + fill)]
+        out = [(1, self.space(dims, node.most)), (3, kind.message), (5, struct.pack("<4BI", 2, 2, 2, 1, len(fill)) + fill)]
         data = b"" if node.value is None or null else self.encode(node.value, kind)
         if node.compact:
             return [*out, (8, struct.pack("<BBH", 3, 0, len(data)) + data)]
@@ -259,27 +264,131 @@ class Writer:
         if node.fletcher:
             filters.append(struct.pack("<HHHH", 3, 0, 0, 0))
         address = UNDEFINED
-        if data:
-            values = np.frombuffer(data, np.dtype((np.void, kind.size))).reshape(dims)
+        if node.index != "btree1":
+            out.append((8, self.indexed(node, kind, dims, data, bool(filters))))
+        elif data:
             entries = []
-            for place in np.ndindex(*[-(-d // c) for d, c in zip(dims, node.chunk, strict=True)]):
-                start = tuple(p * c for p, c in zip(place, node.chunk, strict=True))
-                block = np.zeros(node.chunk, values.dtype)
-                part = values[tuple(slice(s, s + c) for s, c in zip(start, node.chunk, strict=True))]
-                block[tuple(slice(0, n) for n in part.shape)] = part
-                raw = block.tobytes()
-                if node.shuffle:
-                    raw = np.frombuffer(raw, np.uint8).reshape(-1, kind.size).T.tobytes()
-                if node.deflate:
-                    raw = zlib.compress(raw, node.deflate)
-                if node.fletcher:
-                    raw += b"\0\0\0\0"
+            for start, raw in self.blocks(node, kind, dims, data):
                 entries.append((struct.pack(f"<II{len(dims) + 1}Q", len(raw), 0, *start, 0), self.add(raw)))
             end = tuple(-(-d // c) * c for d, c in zip(dims, node.chunk, strict=True))
             address = self.tree(1, entries, struct.pack(f"<II{len(dims) + 1}Q", 0, 0, *end, kind.size))
-        out.append((8, struct.pack(f"<BBBQ{len(dims) + 1}I", 3, 2, len(dims) + 1, address, *node.chunk, kind.size)))
+        if node.index == "btree1":
+            out.append((8, struct.pack(f"<BBBQ{len(dims) + 1}I", 3, 2, len(dims) + 1, address, *node.chunk, kind.size)))
         return [*out, (11, struct.pack("<BB6x", 1, len(filters)) + b"".join(filters))] if filters else out
 
+    def blocks(self, node: Data, kind: Type, dims: tuple[int, ...], data: bytes):
+        """(offset, filtered bytes) of each chunk."""
+        values = np.frombuffer(data, np.dtype((np.void, kind.size))).reshape(dims)
+        for place in np.ndindex(*[-(-d // c) for d, c in zip(dims, node.chunk, strict=True)]):
+            start = tuple(p * c for p, c in zip(place, node.chunk, strict=True))
+            block = np.zeros(node.chunk, values.dtype)
+            part = values[tuple(slice(s, s + c) for s, c in zip(start, node.chunk, strict=True))]
+            block[tuple(slice(0, n) for n in part.shape)] = part
+            raw = block.tobytes()
+            if node.shuffle:
+                raw = np.frombuffer(raw, np.uint8).reshape(-1, kind.size).T.tobytes()
+            if node.deflate:
+                raw = zlib.compress(raw, node.deflate)
+            if node.fletcher:
+                raw += b"\0\0\0\0"
+            yield start, raw
+
+    def sealed(self, data: bytes) -> int:
+        return self.add(data + struct.pack("<I", checksum(data)))
+
+    def indexed(self, node: Data, kind: Type, dims: tuple[int, ...], data: bytes, filtered: bool) -> bytes:
+        """The layout message of the newer kind, with its chunk index."""
+        found = list(self.blocks(node, kind, dims, data))
+        head = struct.pack("<BBBBB", 4, 2, 2 if node.index == "single" and filtered else 0, len(dims) + 1, 4) + struct.pack(f"<{len(dims) + 1}I", *node.chunk, kind.size)
+        if node.index == "single":
+            ((_, raw),) = found
+            return head + b"\x01" + (struct.pack("<QI", len(raw), 0) if filtered else b"") + struct.pack("<Q", self.add(raw))
+        if node.index == "implicit":
+            return head + b"\x02" + struct.pack("<Q", self.add(b"".join(raw for _, raw in found)))
+        entry = lambda raw: struct.pack("<Q", self.add(raw)) + (struct.pack("<II", len(raw), 0) if filtered else b"")
+        width = 16 if filtered else 8
+        none = struct.pack("<Q", UNDEFINED) + bytes(width - 8)
+        if node.index == "btree2":
+            records = [entry(raw) + struct.pack(f"<{len(dims)}Q", *[s // c for s, c in zip(start, node.chunk, strict=True)]) for start, raw in found]
+            size, kind_ = width + 8 * len(dims), 11 if filtered else 10
+            bytes_ = 10 + size * len(records)
+            leaf = self.sealed(struct.pack("<4sBB", b"BTLF", 0, kind_) + b"".join(records))
+            tree = self.sealed(struct.pack("<4sBBIHHBBQHQ", b"BTHD", 0, kind_, bytes_, size, 0, 100, 40, leaf, len(records), len(records)))
+            return head + b"\x05" + struct.pack("<IBB", bytes_, 100, 40) + struct.pack("<Q", tree)
+        most = node.most or dims
+        grid = [-(-(d if m is None else m) // c) for d, m, c in zip(dims, most, node.chunk, strict=True)]
+        slots = [none] * int(np.prod(grid))
+        for start, raw in found:
+            slots[int(np.ravel_multi_index([s // c for s, c in zip(start, node.chunk, strict=True)], grid))] = entry(raw)
+        if node.index == "fixed":
+            return head + b"\x03" + struct.pack("<BQ", 2, self.fixed_array(slots, width, filtered, 2))
+        return head + b"\x04" + struct.pack("<5B", 32, 4, 4, 16, 3) + struct.pack("<Q", self.extensible_array(slots, width, filtered))
+
+    def fixed_array(self, slots: list[bytes], width: int, filtered: bool, bits: int) -> int:
+        page = 1 << bits
+        at = len(self.out) + -len(self.out) % 8
+        block = at + 32  # behind the header of 28 bytes
+        header = struct.pack("<4sBBBBQQ", b"FAHD", 0, filtered, width, bits, len(slots), block)
+        self.sealed(header)
+        data = struct.pack("<4sBBQ", b"FADB", 0, filtered, at)
+        if len(slots) <= page:
+            where = self.sealed(data + b"".join(slots))
+        else:
+            pages = [slots[i : i + page] for i in range(0, len(slots), page)]
+            bitmap = bytearray(-(-len(pages) // 8))
+            for i, p in enumerate(pages):
+                if any(not s.startswith(b"\xff" * 8) for s in p):
+                    bitmap[i // 8] |= 128 >> i % 8
+            data += bytes(bitmap)
+            data += struct.pack("<I", checksum(data))
+            for p in pages:
+                body = b"".join(p)
+                data += body + struct.pack("<I", checksum(body))
+            where = self.add(data)
+        if where != block:
+            raise ValueError("misplaced")
+        return at
+
+    def extensible_array(self, slots: list[bytes], width: int, filtered: bool) -> int:
+        bits, in_index, least, pointers, page_bits = 32, 4, 16, 4, 3
+        page, n_super = 1 << page_bits, 1 + bits - 4
+        plan = [(1 << (s // 2), least << ((s + 1) // 2)) for s in range(n_super)]
+        at = self.add(bytes(72))  # the header, filled in at the end
+        none = struct.pack("<Q", UNDEFINED) + bytes(width - 8)
+        rest, done = slots[in_index:], in_index
+
+        def block(part: list[bytes], n: int, offset: int) -> int:
+            part = part + [none] * (n - len(part))
+            data = struct.pack("<4sBBQI", b"EADB", 0, filtered, at, offset)
+            if n <= page:
+                return self.sealed(data + b"".join(part))
+            data += struct.pack("<I", checksum(data))
+            for i in range(0, n, page):
+                body = b"".join(part[i : i + page])
+                data += body + struct.pack("<I", checksum(body))
+            return self.add(data)
+
+        direct, supers, offset = [], [], 0
+        for s, (blocks, n) in enumerate(plan):
+            places = []
+            for _ in range(blocks):
+                places.append(block(rest[:n], n, offset) if rest else UNDEFINED)
+                done += n if rest else 0
+                offset += n
+                rest = rest[n:]
+            if s < 4:
+                direct += places
+            elif places[0] == UNDEFINED:
+                supers.append(UNDEFINED)
+            else:
+                bitmap = b"\xff" * (blocks * -(-(n // page) // 8) if n > page else 0)
+                supers.append(self.sealed(struct.pack("<4sBBQI", b"EASB", 0, filtered, at, offset) + bitmap + struct.pack(f"<{blocks}Q", *places)))
+        index = struct.pack("<4sBBQ", b"EAIB", 0, filtered, at) + b"".join(slots[:in_index] + [none] * (in_index - len(slots)))
+        where = self.sealed(index + struct.pack(f"<{len(direct) + len(supers)}Q", *direct, *supers))
+        head = struct.pack("<4sBB6B", b"EAHD", 0, filtered, width, bits, in_index, least, pointers, page_bits) + struct.pack("<7Q", 0, 0, 0, 0, len(slots), done, where)
+        self.out[at : at + 72] = head + struct.pack("<I", checksum(head))
+        return at
+
     def write(self, node) -> int:
         if node.address:
             return node.address

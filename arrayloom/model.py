@@ -65,6 +65,8 @@ class Space:
     """Extents of a dataset or attribute: None for a null space, () for a scalar."""
 
     dims: tuple[int, ...] | None
+    #: Extents that the dataset may grow to, None for each without a bound; the same as dims where not given.
+    most: tuple[int | None, ...] | None = None
 
     @property
     def count(self) -> int:

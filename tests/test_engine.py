@@ -274,3 +274,16 @@ def test_sink_writes_a_file_for_each_partition(spark, tmp_path):
     assert len(paths) == 3 and sorted(os.listdir(tmp_path / "out")) == [os.path.basename(p) for p in paths]
     back = api.read(spark, paths, "/t/id", "/t/half", api.alias("part", api.rse("/t/part_starts", "/t/part_values")))
     assert collect(back, "id") == [(i, i / 2, str(i // 30)) for i in range(100)]
+
+
+def test_the_data_source(spark, file):
+    from arrayloom.sources.datasource import parse_columns
+
+    api.register(spark)
+    path = file(x=np.arange(7), rs=np.array([2, 4]), v=np.array([1.5, np.nan]), s=np.array("k", object))
+    options = {"columns": "index as i, /x, rse(/rs, /v) as v, /s", "filename": "from", "rangeRows": "3"}
+    df = spark.read.format("arrayloom").options(**options).load(path)
+    want = api.read(spark, path, api.alias("i", api.index()), "/x", api.rse("/rs", "/v"), "/s", filename="from", mode="late")
+    assert df.dtypes == want.dtypes and repr(collect(df, "i")) == repr(collect(want, "i"))
+    assert df.filter("x < 3").count() == 3 and df.count() == 7
+    assert parse_columns("/index/a, ree(/a,/b)") == ["/index/a", api.ree("/a", "/b")]

@@ -49,6 +49,28 @@ def test_chunks_and_filters(made, chunk, options):
         assert (rows(f, "/x", a, b) == values[a:b]).all()
 
 
+@pytest.mark.parametrize("index", ["single", "implicit", "fixed", "extensible", "btree2"])
+@pytest.mark.parametrize("deflate", [0, 1])
+@pytest.mark.parametrize("rows", [1, 9, 700])
+def test_newer_chunk_indexes(tmp_path, index, deflate, rows):
+    if index == "implicit" and deflate:
+        pytest.skip("only chunks without filters are implicit")
+    values = np.arange(rows * 6, dtype=np.int32).reshape(rows, 6)
+    chunk = (rows, 6) if index == "single" else (2, 4)
+    most = {"extensible": (None, 9), "fixed": (rows + 5, 9)}.get(index)
+    w = Writer(str(tmp_path / "x.h5"), latest=True)
+    w.dataset("/x", values, chunk=chunk, deflate=deflate, index=index, most=most)
+    w.close()
+    f = File(w.path)
+    for a, b in ((0, rows), (rows // 3, rows // 2), (rows - 1, rows)):
+        assert (rows_of(f, a, b) == values[a:b]).all()
+
+
+def rows_of(f, a, b):
+    d = f.resolve("/x")
+    return decode(f, d.raw_rows(a, b), d.type, "/x")
+
+
 def test_many_chunks_need_a_tree_of_levels(made):
     values = np.arange(50_000, dtype=np.int64)
     f = made(lambda w: w.dataset("/x", values, chunk=(7,)))
