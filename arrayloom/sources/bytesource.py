@@ -77,7 +77,17 @@ class HttpBytes:
         self.kept.clear()
 
 
+#: Access to SFTP servers, by host name; a worker has what its driver's module had when it was started.
+sftp_access: dict = {}
+
+
 def open_bytes(path: str):
-    if path.startswith(("http://", "https://")):
-        return HttpBytes(path)
-    return LocalBytes(path.removeprefix("file://"))
+    from arrayloom.sources import remote
+
+    scheme = path.partition("://")[0] if "://" in path else "file"
+    if scheme == "file":
+        return LocalBytes(path.removeprefix("file://"))
+    if scheme == "sftp":
+        return remote.SftpBytes(path, sftp_access.get(remote.parse_sftp(path)[0]))
+    plain = remote.plain_uri(path)
+    return HttpBytes(plain) if plain.startswith(("http://", "https://")) else remote.StoreBytes(path)

@@ -65,11 +65,16 @@ def is_remote(path: str) -> bool:
 
 def expand_one(pattern: str) -> list[str]:
     """The files of a pattern in order; a name without wildcards, or that of a remote file, stands for itself."""
-    if is_remote(pattern) or not MAGIC.search(pattern):
+    # A web address has no folders to list, and "?" begins its query.
+    if not MAGIC.search(pattern) or pattern.startswith(("http://", "https://", "sftp://", "hf://")):
         return [pattern]
     parts = pattern.split("/")
     if parts.count("**") > 1:
         raise ArrayFileError("Cannot use multiple '**' in one path")
+    if is_remote(pattern):
+        from arrayloom.sources.remote import expand_store
+
+        return expand_store(pattern)
     start = "/" if pattern.startswith("/") else ""
     found = sorted(set(_walk(start, [p for p in parts if p])), key=lambda p: p.encode("utf-8", "surrogateescape"))
     if found:
