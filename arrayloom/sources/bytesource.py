@@ -22,7 +22,19 @@ class LocalBytes:
                 raise OSError("is a directory")
         except OSError as e:
             raise ArrayFileError(f"Failed to open HDF5 file: {path}") from e
-        self.size = os.fstat(self.fd).st_size
+        self.path, self.stamp = path, self._stamp(os.fstat(self.fd))
+        self.size = self.stamp[2]
+
+    @staticmethod
+    def _stamp(s: os.stat_result) -> tuple:
+        return s.st_ino, s.st_mtime_ns, s.st_size
+
+    def changed(self) -> bool:
+        """Whether another process has replaced or written the file since it was opened."""
+        try:
+            return self._stamp(os.stat(self.path)) != self.stamp
+        except OSError:
+            return True
 
     def read(self, offset: int, n: int) -> bytes:
         out = os.pread(self.fd, n, offset)

@@ -62,6 +62,12 @@ class ArraySource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return ArrayReader(self.bound(), int(self.options.get("rangerows", RANGE_ROWS)))
 
+    def simpleStreamReader(self, schema):
+        from arrayloom.streaming.tail import TailReader
+
+        b = self.bound()
+        return TailReader(self.options["path"], tuple(parse_columns(self.options.get("columns", ""))), b.filename or False)
+
 
 class ArrayReader(DataSourceReader):
     def __init__(self, bound: Bound, rows: int):

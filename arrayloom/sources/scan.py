@@ -32,7 +32,11 @@ _open: OrderedDict[str, File] = OrderedDict()
 
 def opened(path: str) -> File:
     """A file that this worker keeps open; the least recently used is closed."""
-    file = _open.pop(path, None) or File(path)
+    file = _open.pop(path, None)
+    if file is not None and getattr(file.source, "changed", bool)():
+        file.close()
+        file = None
+    file = file or File(path)
     _open[path] = file
     if len(_open) > OPEN_FILES:
         _open.popitem(last=False)[1].close()
