@@ -27,9 +27,9 @@ def targets(sources: DataFrame, most: int = MOST_EPOCHS) -> DataFrame:
     """
     everything = Window.partitionBy()
     cap = F.lit(most) * F.col("source_size")
-    # The order is by the exact rational cap / weight; equal ratios are capped together or not at all.
-    earlier = Window.partitionBy().orderBy("__ratio").rangeBetween(Window.unboundedPreceding, -1)
-    df = sources.withColumn("__all", F.sum("source_size").over(everything)).withColumn("__cap", cap).withColumn("__ratio", (F.col("__cap") / F.col("weight")).cast("double"))
+    # Equal ratios of cap and weight are capped together or not at all: the frame ends before them.
+    earlier = Window.partitionBy().orderBy("__place").rangeBetween(Window.unboundedPreceding, -1)
+    df = sources.withColumn("__all", F.sum("source_size").over(everything)).withColumn("__cap", cap).withColumn("__place", F.dense_rank().over(Window.partitionBy().orderBy((F.col("__cap") / F.col("weight")).cast("double"))))
     df = df.withColumn("__left", F.col("__all") - F.coalesce(F.sum("__cap").over(earlier), F.lit(0))).withColumn("__weights", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), F.lit(0)))
     # Capped: left * weight >= cap * weights, in whole numbers.
     df = df.withColumn("__capped", F.col("__left") * F.col("weight") >= F.col("__cap") * F.col("__weights"))

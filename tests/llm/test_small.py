@@ -31,7 +31,7 @@ def empty(frame):
 
 def plain_targets(sizes, weights):
     left, free, out = sum(sizes.values()), dict(weights), {}
-    while True:
+    while free:
         over = [s for s in free if left * free[s] >= 3 * sizes[s] * sum(free.values())]
         if not over:
             return out | {s: left * w / sum(free.values()) for s, w in free.items()}
@@ -41,6 +41,7 @@ def plain_targets(sizes, weights):
         left = now - sum(3 * sizes[s] for s in over)
         for s in over:
             free.pop(s)
+    return out
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -65,6 +66,16 @@ def test_mix(frame, seed):
     assert sorted((r.doc_id or -1, r.size, r.taken) for r in mixing.mix(docs.repartition(7)).collect()) == sorted((r.doc_id or -1, r.size, r.taken) for r in got)
 
 
+def test_targets_of_sources_with_nearly_equal_caps(spark):
+    rng = random.Random(8)
+    for _ in range(12):
+        sizes = {f"s{i:02d}": rng.choice([0, 1, 2, 3, 4, 5, 10, 11, 25, 1_000]) for i in range(rng.randint(1, 9))}
+        rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r.source: r.target for r in mixing.targets(mixing.weighted(rows)).collect()}
+        want = plain_targets(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))})
+        assert got.keys() == want.keys() and all(math.isclose(got[s], want[s], abs_tol=1e-9) and got[s] <= 3 * sizes[s] for s in sizes)
+
+
 def test_mix_of_nothing(frame):
     assert mixing.mix(empty(frame)).count() == 0
 
