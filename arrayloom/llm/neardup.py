@@ -31,7 +31,8 @@ from arrayloom.llm.components import components
 
 WIDTH, PERCENT = 5, 85
 SYMBOLS, CHUNKS, DISTANCE = 32, 8, 15
-BINS = 256
+#: Bytes of a long sketch; a set of fewer shingles is nearly all in it.
+BINS = 1_024
 #: Nodes of a key that meet in one block.
 BLOCK = 512
 KEPT_WORDS = 300_000
@@ -93,12 +94,19 @@ def sketch(found: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def close(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether two rows of sketches can be of sets as like as that: differing bins within 4.5 deviations."""
+def close(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int = PERCENT) -> np.ndarray:
+    """Whether sets of n_a and n_b members with these sketches can be as like as that.
+
+    Their sizes must be as near as their likeness. The filled bins hold a random part of the union's members,
+    each once, so the differing ones are hypergeometric: within 4.5 deviations of what that likeness gives.
+    """
     full = ((a != 0) | (b != 0)).sum(-1)
     differ = (a != b).sum(-1)
-    share = 1 - percent / 100
-    return differ <= share * full + 4.5 * np.sqrt(share * (1 - share) * full) + 1
+    like = percent / 100
+    union = (n_a + n_b) / (1 + like)
+    spread = like * (1 - like) * full * np.maximum(union - full, 0) / np.maximum(union - 1, 1)
+    sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+    return sizes & (differ <= (1 - like) * full + 4.5 * np.sqrt(spread) + 1)
 
 
 def described(docs: DataFrame, width: int) -> DataFrame:
@@ -155,12 +163,13 @@ def near_pairs(rows: pd.DataFrame, percent: int):
     """
     sig, comp = np.stack(rows["sig"].to_numpy()), rows["comp"].to_numpy()
     bits = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), BINS)
+    n = rows["n"].to_numpy()
     ids, side, number = rows["id"].to_numpy(), rows["side"].to_numpy(), int(rows["number"].iloc[0])
     size = SYMBOLS // CHUNKS
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     for i in left:
         some = right[(comp[right] != comp[i]) & ((ids[right] > ids[i]) if side[i] == 2 else True)]
-        some = some[close(bits[i], bits[some], percent)] if len(some) else some
+        some = some[close(bits[i], bits[some], n[i], n[some], percent)] if len(some) else some
         if not len(some):
             continue
         errors = (sig[some] != sig[i]).reshape(len(some), CHUNKS, size)
@@ -175,11 +184,11 @@ def cross_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame, percent
     rows = members.join(labels, "id", "left").withColumn("comp", F.coalesce("component", "id"))
     open_ = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n")).filter("low <> high")
     open_ = open_.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.select("key", "id", "comp").join(open_, "key").join(nodes.select("id", "sig", "sketch"), "id")
+    rows = rows.select("key", "id", "comp").join(open_, "key").join(nodes.select("id", "sig", "sketch", F.col("n_shingles").alias("n")), "id")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.withColumn("own", own).select("*", other)
-    rows = rows.select("key", "id", "comp", "sig", "sketch", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
+    rows = rows.select("key", "id", "comp", "sig", "sketch", "n", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
     # Which of a signature's keys this is; equal to all members of the key.
     size = SYMBOLS // CHUNKS
     numbers = F.array(*[F.xxhash64(F.lit(c * size + j), *[F.col("sig")[c * size + i] for i in range(size) if i != j]) for c in range(CHUNKS) for j in range(size)])
@@ -207,13 +216,13 @@ def cross_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame, percent
 
 def close_stars(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches are close."""
-    named = lambda x: nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s_{x}"))
+    named = lambda x: nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s_{x}"), F.col("n_shingles").alias(f"n_{x}"))
     joined = pairs.join(named("b"), "b").join(named("a"), "a")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch[c]), np.uint8).reshape(-1, BINS) for c in ("s_a", "s_b"))
-            yield batch.loc[close(a, b, percent), ["a", "b"]]
+            yield batch.loc[close(a, b, batch["n_a"].to_numpy(), batch["n_b"].to_numpy(), percent), ["a", "b"]]
 
     return joined.mapInPandas(run, "a long, b long")
 
@@ -222,8 +231,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     """(doc_id, th, n_shingles, component_id) for every row of ``docs`` (doc_id, text); th is the text's hash."""
     texts = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"))
     rows = materialise(described(texts, width), "dup-rows")
-    nodes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "th")).alias("id"), F.min("sig").alias("sig"), F.min("sketch").alias("sketch"))
-    nodes = materialise(nodes.select("set", F.col("id.doc_id").alias("id"), F.col("id.th").alias("th"), "sig", "sketch"), "dup-nodes")
+    nodes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "th")).alias("id"), F.min("sig").alias("sig"), F.min("sketch").alias("sketch"), F.min("n_shingles").alias("n_shingles"))
+    nodes = materialise(nodes.select("set", F.col("id.doc_id").alias("id"), F.col("id.th").alias("th"), "sig", "sketch", "n_shingles"), "dup-nodes")
     keys = keys_of(nodes)
     shared = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")
     members = materialise(keys.join(shared, "key"), "dup-members")
