@@ -4,8 +4,8 @@ Only windows whose least gram recurs can recur (see ``recurrence``). The windows
 such gram form a context of less than two windows' bytes; contexts meet by their gram, equal ones as one. A
 suffix array over a chunk of contexts, with the common prefix of neighbours, is scanned with a stack: each
 interval of common prefix is a repeat, and it is maximal to the left if its suffixes are preceded by different
-bytes. The maximal repeats of LEAST bytes or more come out with all their occurrences, and every repeated window
-lies in one of them.
+bytes. The maximal repeats of LEAST bytes or more have all their occurrences, and every repeated window lies in one of
+them.
 
 Defined results: a null text has no bytes; rows without an id are left as they are; ids are taken to be unique,
 and rows that repeat both id and text are one document; overlapping occurrences in one document count; an empty
@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrayloom.llm.common import materialise, table
-from arrayloom.llm.recurrence import candidates, chunks, copies, least_grams, mix64
+from arrayloom.llm.recurrence import candidates, chunks, copies, grams, least_grams, mix64
 
 LEAST, GRAM = 400, 64
 #: Bytes of contexts that share one suffix array, about; contexts of one gram that meet in one block.
-ARRAY_BYTES, BLOCK = 1_500_000, 4_096
+ARRAY_BYTES, BLOCK = 1_000_000, 2_048
 
 LETTERS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -75,37 +75,111 @@ def suffix_array(data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, np.r_[0, common]
 
 
+class Texts:
+    """Texts laid end to end, with their enhanced suffix array."""
+
+    def __init__(self, texts: list[bytes]):
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.starts, self.sizes = np.cumsum(sizes) - sizes, sizes
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
+        self.owner = np.repeat(np.arange(len(texts)), sizes)
+        room = self.starts[self.owner] + sizes[self.owner] - np.arange(len(self.data))
+        self.order, self.common = suffix_array(self.data, room)
+
+    def intervals(self, least: int = LEAST) -> Iterator[tuple[int, int, int]]:
+        """(length, first, end) of the maximal repeats: suffixes first to end share that many bytes, no more, and not the byte before.
+
+        A stack holds the open intervals; inner ones come out before those around them.
+        """
+        before = np.concatenate([[-1], self.data[:-1].astype(np.int64)])
+        heads = self.starts[self.sizes > 0]
+        before[heads] = -1 - np.arange(len(heads))  # a text's first byte is preceded like no other
+        left, common = before[self.order], self.common
+        # Runs of suffixes with such a common prefix; a run preceded by one byte throughout has no maximal repeat.
+        edges = np.flatnonzero(np.diff(np.r_[False, common[1:] >= least, False].astype(np.int8)))
+        for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):  # suffixes lo..hi
+            own = left[lo : hi + 1]
+            if own[0] >= 0 and (own == own[0]).all():
+                continue
+            change = np.cumsum(np.r_[0, own[1:] != own[:-1]]).tolist()
+            stack: list[tuple[int, int]] = []  # (common prefix, first suffix) of open intervals
+            for at, value in enumerate([*common[lo + 1 : hi + 1].tolist(), 0], lo + 1):
+                first = at - 1
+                while stack and stack[-1][0] > value:
+                    length, first = stack.pop()
+                    if change[at - 1 - lo] != change[first - lo]:  # preceded by different bytes
+                        yield length, first, at
+                if value >= least and (not stack or stack[-1][0] < value):
+                    stack.append((value, first))
+
+    def covered(self, least: int = LEAST) -> Iterator[tuple[int, int, int]]:
+        """(text, start, end) of the runs of bytes that lie in an occurrence of a maximal repeat.
+
+        A suffix's longest such occurrence is that of its innermost interval. The occurrences of nested intervals
+        are never listed one by one, as a periodic text has a square of them.
+        """
+        longest = np.zeros(len(self.order) + 1, np.int64)
+        todo: list[tuple[int, int, int]] = sorted(((f, -e, n) for n, f, e in self.intervals(least)))
+        open_: list[tuple[int, int]] = []  # (end, length) of the intervals around
+        at = 0
+        for first, minus, length in [*todo, (len(self.order), 0, 0)]:
+            while open_ and open_[-1][0] <= first:
+                end, own = open_.pop()
+                longest[at:end] = own
+                at = max(at, end)
+            if open_:
+                longest[at:first] = open_[-1][1]
+            at = max(at, first)
+            open_.append((-minus, length))
+        inside = np.flatnonzero(longest[:-1])
+        mark = np.zeros(len(self.data) + 1, np.int64)
+        np.add.at(mark, self.order[inside], 1)
+        np.add.at(mark, self.order[inside] + longest[inside], -1)
+        gone = np.cumsum(mark[:-1]) > 0
+        # A run ends with its text.
+        edge = np.r_[False, self.owner[1:] != self.owner[:-1]] if len(gone) else gone
+        begin = np.flatnonzero(gone & (~np.r_[False, gone[:-1]] | edge))
+        end = np.flatnonzero(gone & (~np.r_[gone[1:], False] | np.r_[edge[1:], True])) + 1
+        for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+            i = int(self.owner[a])
+            yield i, a - int(self.starts[i]), b - int(self.starts[i])
+
+
 def maximal_repeats(texts: list[bytes], least: int = LEAST) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """(length, [(text, start)]) of every repeat of ``least`` bytes or more that can't be extended at either end by all its occurrences alike."""
+    if sum(map(len, texts)) < 2:
+        return
+    t = Texts(texts)
+    for length, first, end in t.intervals(least):
+        where = t.order[first:end]
+        yield length, list(zip(t.owner[where].tolist(), (where - t.starts[t.owner[where]]).tolist(), strict=True))
+
+
+def recurring_parts(texts: list[bytes], least: int = LEAST) -> Iterator[tuple[int, int, bytes]]:
+    """(text, start, bytes) of the runs of windows whose 64-bit fingerprint is found twice in the texts.
+
+    What shares a gram mostly differs further on. A window that recurs is always kept, and whatever else is kept
+    costs only room in the suffix array.
+    """
     sizes = np.array([len(t) for t in texts])
-    if not len(texts) or sizes.sum() < 2:
+    data = b"".join(texts)
+    if len(data) < least:
         return
     starts = np.cumsum(sizes) - sizes
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    h = mix64(grams(LETTERS[np.frombuffer(data, np.uint8)], least))
     owner = np.repeat(np.arange(len(texts)), sizes)
-    order, common = suffix_array(data, starts[owner] + sizes[owner] - np.arange(len(data)))
-    before = np.concatenate([[-1], data[:-1].astype(np.int64)])
-    heads = starts[sizes > 0]
-    before[heads] = -1 - np.arange(len(heads))  # a text's first byte is preceded like no other
-    left = before[order]
-    # Runs of suffixes with such a common prefix; a run preceded by one byte throughout has no maximal repeat.
-    inside = common >= least
-    edges = np.flatnonzero(np.diff(np.r_[False, inside[1:], False].astype(np.int8)))
-    for lo, hi in zip(edges[::2], edges[1::2], strict=True):  # suffixes lo..hi
-        if (left[lo : hi + 1] == left[lo]).all() and left[lo] >= 0:
-            continue
-        stack: list[tuple[int, int]] = []  # (common prefix, first suffix) of open intervals
-        lcp = [*common[lo + 1 : hi + 1].tolist(), 0]
-        change = np.cumsum(np.r_[0, left[lo + 1 : hi + 1] != left[lo:hi]])
-        for at, value in enumerate(lcp, lo + 1):
-            first = at - 1
-            while stack and stack[-1][0] > value:
-                length, first = stack.pop()
-                if change[at - 1 - lo] != change[first - lo] or left[first] < 0:  # preceded by different bytes
-                    where = order[first:at]
-                    yield length, list(zip(owner[where].tolist(), (where - starts[owner[where]]).tolist(), strict=True))
-            if value >= least and (not stack or stack[-1][0] < value):
-                stack.append((value, first))
+    at = np.flatnonzero((starts[owner] + sizes[owner] - np.arange(len(data)))[: len(h)] >= least)
+    order = np.argsort(h[at], kind="stable")
+    same = h[at[order[1:]]] == h[at[order[:-1]]]
+    twice = np.zeros(len(at), bool)
+    twice[order[1:]] |= same
+    twice[order[:-1]] |= same
+    kept = at[twice]
+    cuts = np.flatnonzero((np.diff(kept) > 1) | (np.diff(owner[kept]) > 0)) + 1
+    for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(kept)], strict=True):
+        if b > a:
+            i = owner[kept[a]]
+            yield int(i), int(kept[a] - starts[i]), data[kept[a] : kept[b - 1] + least]
 
 
 def contexts(found: DataFrame) -> DataFrame:
@@ -134,24 +208,24 @@ def contexts(found: DataFrame) -> DataFrame:
     return found.mapInPandas(run, "h long, doc_id long, pos int, context binary")
 
 
-def repeat_groups(met: DataFrame) -> DataFrame:
-    """(length, doc_id, start, group) of all occurrences of the repeats among contexts sorted by (h, x, y).
+def repeated_spans(met: DataFrame) -> DataFrame:
+    """(doc_id, start, end) of the bytes in maximal repeats, among contexts sorted by (h, x, y).
 
     Equal contexts are one text of the array; a context found at several places is a repeat as it is.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest, number = None, 0
+        rest = None
         for batch in batches:
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             key = batch[["h", "x", "y"]].to_numpy()
             cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]
             rest = batch.iloc[cuts[-1] :]
-            yield from occurrences(batch.iloc[: cuts[-1]], cuts)
+            yield from spans_of(batch.iloc[: cuts[-1]], cuts)
         if rest is not None:
-            yield from occurrences(rest, np.zeros(1, np.int64))
+            yield from spans_of(rest, np.zeros(1, np.int64))
 
-    def occurrences(rows: pd.DataFrame, cuts: np.ndarray) -> Iterator[pd.DataFrame]:
+    def spans_of(rows: pd.DataFrame, cuts: np.ndarray) -> Iterator[pd.DataFrame]:
         if not len(rows):
             return
         sizes = rows["context"].map(len).to_numpy().cumsum()
@@ -159,30 +233,30 @@ def repeat_groups(met: DataFrame) -> DataFrame:
         start = 0
         for i, end in enumerate(ends):  # whole grams, as many as an array holds
             if end == len(rows) or sizes[ends[i + 1] - 1] - (sizes[start - 1] if start else 0) > ARRAY_BYTES:
-                yield repeats(rows.iloc[start:end])
+                yield spans(rows.iloc[start:end])
                 start = end
 
-    def repeats(rows: pd.DataFrame) -> pd.DataFrame:
+    def spans(rows: pd.DataFrame) -> pd.DataFrame:
         places: dict[bytes, set[tuple[int, int]]] = {}
         for t, d, p in zip(rows["context"], rows["doc_id"], rows["pos"], strict=True):
             places.setdefault(t, set()).add((d, p))
-        texts = list(places)
-        at = [sorted(v) for v in places.values()]
-        out = [(len(t), d, p, i) for i, (t, own) in enumerate(zip(texts, at, strict=True)) if len(own) > 1 for d, p in own]
-        seen = set()
-        for group, (length, where) in enumerate(maximal_repeats(texts), len(texts)):
-            for text, start in where:
-                if len(at[text]) == 1 and (text, start, length) not in seen:
-                    seen.add((text, start, length))
-                    out.append((length, at[text][0][0], at[text][0][1] + start, group))
-        frame = pd.DataFrame(out, columns=["length", "doc_id", "start", "group"])
-        return frame.astype({"length": "int32", "doc_id": "int64", "start": "int64", "group": "int32"})
+        out = [(d, p, p + len(t)) for t, own in places.items() if len(own) > 1 for d, p in own]
+        # The parts of contexts with windows that may recur; equal parts are one text again.
+        parts: dict[bytes, set[tuple[int, int]]] = {}
+        whole = list(places)
+        for i, start, part in recurring_parts(whole):
+            parts.setdefault(part, set()).update((d, p + start) for d, p in places[whole[i]])
+        out += [(d, p, p + len(t)) for t, own in parts.items() if len(own) > 1 for d, p in own]
+        texts, at = list(parts), [min(own) for own in parts.values()]
+        if texts:
+            out += [(at[i][0], at[i][1] + a, at[i][1] + b) for i, a, b in Texts(texts).covered()]
+        return pd.DataFrame(out, columns=["doc_id", "start", "end"]).astype("int64")
 
-    return met.mapInPandas(run, "length int, doc_id long, start long, group int")
+    return met.mapInPandas(run, "doc_id long, start long, end long")
 
 
 def repeated_strings(found: DataFrame) -> DataFrame:
-    """Occurrences of the maximal repeats of the candidate documents.
+    """(doc_id, start, end) of the candidate documents' bytes in maximal repeats.
 
     Where more contexts share a gram than a block holds, blocks of them meet in pairs, each pair in a task of
     its own, so that a gram of any frequency is compared in bounded memory.
@@ -195,7 +269,7 @@ def repeated_strings(found: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("context"), F.col("blocks")).cast("int")  # equal contexts go together
     rows = rows.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("h", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "doc_id", "pos", "context")
-    return repeat_groups(rows.repartition("h", "x", "y").sortWithinPartitions("h", "x", "y"))
+    return repeated_spans(rows.repartition("h", "x", "y").sortWithinPartitions("h", "x", "y"))
 
 
 def kept_bytes(text: str | None, spans) -> tuple[int, int, bytes]:
@@ -216,7 +290,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     info = materialise(docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.md5(text).alias("th")).filter(F.col("n_bytes") >= LEAST), "repeats-info")
     later = materialise(copies(info), "repeats-copies")
     found = candidates(docs, byte_elements, GRAM, LEAST, later)
-    spans = repeated_strings(found).groupBy("doc_id").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))).alias("spans"))
+    spans = repeated_strings(found).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -267,6 +267,16 @@ def test_maximal_repeats(texts, least):
             if len(left) > 1 and len(right) > 1:
                 want.add((len(s), frozenset(where)))
     assert got == want
+    if sum(map(len, texts)) > 1:
+        inside = {(i, b) for length, where in want for i, a in where for b in range(a, a + length)}
+        runs = list(suffixes.Texts(texts).covered(least))
+        assert {(i, x) for i, a, b in runs for x in range(a, b)} == inside
+        assert len(runs) == sum((i, x - 1) not in inside for i, x in inside)
+
+
+def test_a_periodic_text_is_not_a_square_of_work():
+    t = suffixes.Texts([b"y" * 200_000, b"ab" * 50_000])
+    assert list(t.covered()) == [(0, 0, 200_000), (1, 0, 100_000)]
 
 
 @settings(deadline=None)
