@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ GRAMS = (4, 5)
 #: Words of a text that make its logit.
 TELLING = 8
 #: Rows that a classifier is fitted on, at most: these bound the driver's memory, not what is scored.
-MOST_POSITIVE, MOST_UNLABELLED = 4_000, 8_000
+MOST_POSITIVE, MOST_UNLABELLED = 3_000, 5_000
 KEPT_WORDS = 400_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -84,17 +85,36 @@ class Corpus:
 
     def __init__(self, texts: list[str]):
         numbers: dict[str, int] = {}
-        rows = [sorted(numbers.setdefault(w, len(numbers)) for w in words(t)) for t in texts]
-        self.words = np.array([w for r in rows for w in r], np.int64)
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.rows = len(rows)
-        each = [features(w) for w in numbers]
-        self.features = np.array([f for x in each for f in x], np.int64)
-        self.owner = np.repeat(np.arange(len(each)), [len(x) for x in each])
-        self.count = len(each)
+        flat, lengths = array("i"), array("i")
+        while texts:  # a text is let go once its words are numbered
+            own = sorted(numbers.setdefault(w, len(numbers)) for w in words(texts.pop()))
+            flat.extend(own)
+            lengths.append(len(own))
+        self.words = np.frombuffer(flat, np.int32)
+        self.rows, self.count = len(lengths), len(numbers)
+        self.row = np.repeat(np.arange(self.rows, dtype=np.int32), lengths)
+        flat, lengths = array("i"), array("i")
+        for w in numbers:
+            own = features(w)
+            flat.extend(own)
+            lengths.append(len(own))
+        self.features = np.frombuffer(flat, np.int32)
+        self.owner = np.repeat(np.arange(self.count, dtype=np.int32), lengths)
 
     def word_weights(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, weights[self.features], minlength=self.count)
+        out = np.zeros(self.count)
+        for at in range(0, len(self.features), 1 << 20):
+            part = slice(at, at + (1 << 20))
+            first = self.owner[at]
+            sums = np.bincount(self.owner[part] - first, weights[self.features[part]])
+            out[first : first + len(sums)] += sums
+        return out
+
+    def feature_sums(self, by_word: np.ndarray) -> np.ndarray:
+        out = np.zeros(FEATURES)
+        for at in range(0, len(self.features), 1 << 20):  # in parts, for little memory
+            out += np.bincount(self.features[at : at + (1 << 20)], by_word[self.owner[at : at + (1 << 20)]], minlength=FEATURES)
+        return out
 
     def telling(self, by_word: np.ndarray) -> np.ndarray:
         """Places in ``words`` of each row's TELLING heaviest words, those below zero left out."""
@@ -112,7 +132,7 @@ def start(corpus: Corpus, is_positive: np.ndarray) -> np.ndarray:
     seen = np.zeros((2, FEATURES))
     for side in (0, 1):
         own = np.bincount(corpus.words[is_positive[corpus.row] == side], minlength=corpus.count)
-        seen[side] = np.bincount(corpus.features, own[corpus.owner], minlength=FEATURES)
+        seen[side] = corpus.feature_sums(own)
     n = max(is_positive.sum(), 1), max((~is_positive).sum(), 1)
     ratio = np.log((seen[1] + 0.05) / n[0]) - np.log((seen[0] + 0.05 * n[1] / n[0] + 0.5) / n[1])
     return np.where(seen[1] >= 2, np.clip(ratio, 0, 3), 0) / 4
@@ -120,8 +140,9 @@ def start(corpus: Corpus, is_positive: np.ndarray) -> np.ndarray:
 
 def fit(positive: list[str], unlabelled: list[str], prior: float, steps: int = 60, rate: float = 0.01, decay: float = 1e-4) -> Model:
     """Minimises the non-negative risk with the sigmoid loss by Adam, over all the rows at each step."""
-    corpus = Corpus(positive + unlabelled)
-    is_positive = np.arange(corpus.rows) < len(positive)
+    n_positive, n_unlabelled = len(positive), len(unlabelled)
+    corpus = Corpus(unlabelled + positive)  # taken from the end
+    is_positive = np.arange(corpus.rows) < n_positive
     weights, bias = start(corpus, is_positive), -2.0
     m, s, mb, sb = np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0
     for step in range(1, steps + 1):
@@ -133,13 +154,13 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, steps: int = 6
         negative = up[~is_positive].mean() - prior * up[is_positive].mean()
         grad = np.zeros(corpus.rows)
         if negative >= 0:
-            grad[is_positive] = -2 * prior * slope[is_positive] / len(positive)
-            grad[~is_positive] = slope[~is_positive] / max(len(unlabelled), 1)
+            grad[is_positive] = -2 * prior * slope[is_positive] / n_positive
+            grad[~is_positive] = slope[~is_positive] / max(n_unlabelled, 1)
         else:  # below zero: climb out of it
-            grad[is_positive] = prior * slope[is_positive] / len(positive)
-            grad[~is_positive] = -slope[~is_positive] / max(len(unlabelled), 1)
+            grad[is_positive] = prior * slope[is_positive] / n_positive
+            grad[~is_positive] = -slope[~is_positive] / max(n_unlabelled, 1)
         of_words = np.bincount(corpus.words[used], grad[corpus.row[used]], minlength=corpus.count)
-        g = np.bincount(corpus.features, of_words[corpus.owner], minlength=FEATURES) + decay * weights / FEATURES
+        g = corpus.feature_sums(of_words) + decay * weights / FEATURES
         gb = grad.sum()
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         mb, sb = 0.9 * mb + 0.1 * gb, 0.99 * sb + 0.01 * gb * gb
@@ -172,6 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
     got = rows.limit(2 * (most_positive + most_unlabelled)).toPandas()  # copies of one text are all in the sample or none
     got["text"] = got["text"].fillna("")
     positive, unlabelled = (got.loc[got[c], "text"].sort_values().tolist() for c in ("positive", "sampled"))
+    del got
     return fit(positive, unlabelled, toxic / n) if positive and unlabelled else None
 
 
