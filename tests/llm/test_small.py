@@ -427,6 +427,17 @@ def test_scan_and_redact(frame, corpus):
     assert secrets.scan(empty(frame), secrets.learn(empty(frame))).count() == 0
 
 
+def test_ordinary_tokens_do_not_crowd_out_credentials(frame, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE_TOKENS", 50)
+    rng = random.Random(12)
+    key = lambda: "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+    rows = [(i, " ".join(f"build/{rng.random():.16f}" for _ in range(100))) for i in range(80)]
+    rows += [(1_000 + i, f"key {key()}") for i in range(12)]
+    formats = secrets.learn(frame(rows))
+    assert len(formats.automata) == 1 and formats.automata[0][0].passes[0] >= 12
+    assert formats.first[""] == 50
+
+
 # toxicity
 
 
