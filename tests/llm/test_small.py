@@ -438,6 +438,15 @@ def test_ordinary_tokens_do_not_crowd_out_credentials(frame, monkeypatch):
     assert formats.first[""] == 50
 
 
+def test_rows_without_text_and_copies_do_not_crowd_out_texts(spark):
+    rng = random.Random(13)
+    rows = [(i, f"token={rng.getrandbits(160):040x}") for i in range(40)]
+    many = spark.range(60_000).select("id", F.when(F.col("id") % 2 == 0, F.lit("one hot text")).alias("text"))
+    docs = many.unionByName(spark.createDataFrame(rows, "id long, text string"))
+    formats = secrets.learn(docs)
+    assert [a.passes[0] >= 40 for a, _ in formats.automata] == [True, True]
+
+
 # toxicity
 
 
