@@ -3,8 +3,8 @@
 A signature has SYMBOLS symbols of 16 bits. It is split into CHUNKS chunks; two signatures that differ in at most
 DISTANCE symbols differ by pigeonhole in at most one symbol of some chunk. So each chunk is indexed with each of
 its symbols left out in turn (all the ways of one error), and every pair within the distance meets under some
-key. A pair at a likeness of 0.85 differs in more than DISTANCE of 32 symbols with a chance below 1e-4, and a
-likelier pair hardly ever.
+key. Pairs beyond the distance mostly meet too: only one with two errors in every chunk is missed, with a chance
+of 2e-8 at a likeness of 0.85 and 1.1e-6 at 0.80. Likenesses at which it is above MISSED are refused.
 
 Equal shingle sets are one node from the start. First every node of a key is compared with the key's least node
 only, and the confirmed links are followed to components. Then all pairs under a key that lie in different
@@ -31,6 +31,8 @@ from arrayloom.llm.components import components
 
 WIDTH, PERCENT = 5, 85
 SYMBOLS, CHUNKS, DISTANCE = 32, 8, 15
+#: The chance of missing a pair of just the likeness asked for, at most.
+MISSED = 1e-5
 #: Bytes of a long sketch; a set of fewer shingles is nearly all in it.
 BINS = 1_024
 #: Nodes of a key that meet in one block.
@@ -109,6 +111,12 @@ def close(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int = PERCENT) -> np.
     return sizes & (differ <= (1 - like) * full + 4.5 * np.sqrt(spread) + 1)
 
 
+def missed(percent: int) -> float:
+    """The chance that a pair of that likeness meets under no key: each chunk has two errors or more."""
+    like, size = percent / 100, SYMBOLS // CHUNKS
+    return (1 - like**size - size * (1 - like) * like ** (size - 1)) ** CHUNKS
+
+
 def described(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, th and, of its text, n_shingles, set (128-bit hash), sig and sketch."""
 
@@ -229,6 +237,8 @@ def close_stars(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, th, n_shingles, component_id) for every row of ``docs`` (doc_id, text); th is the text's hash."""
+    if missed(percent) > MISSED:
+        raise ValueError(f"the keys find too few of the pairs at a likeness of {percent} %")
     texts = docs.select("doc_id", "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("th"))
     rows = materialise(described(texts, width), "dup-rows")
     nodes = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set").agg(F.min(F.struct("doc_id", "th")).alias("id"), F.min("sig").alias("sig"), F.min("sketch").alias("sketch"), F.min("n_shingles").alias("n_shingles"))

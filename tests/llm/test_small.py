@@ -344,6 +344,15 @@ def test_a_group_in_which_few_are_linked(frame, monkeypatch, block):
     assert got == {i: c for i, (_, c) in plain_components(rows).items()}
 
 
+def test_a_likeness_that_the_keys_do_not_find_is_refused(frame):
+    rng = np.random.default_rng(3)
+    errors = rng.random((20_000, neardup.CHUNKS, neardup.SYMBOLS // neardup.CHUNKS)) < 0.5
+    assert abs((errors.sum(axis=2) > 1).all(axis=1).mean() - neardup.missed(50)) < 0.01
+    assert neardup.missed(80) < neardup.MISSED
+    with pytest.raises(ValueError):
+        neardup.near_duplicates(empty(frame), percent=50)
+
+
 def test_every_pair_within_the_distance_shares_a_key():
     rng = np.random.default_rng(2)
     size = neardup.SYMBOLS // neardup.CHUNKS
