@@ -36,6 +36,8 @@ TELLING = 8
 MOST_POSITIVE, MOST_UNLABELLED = 3_000, 5_000
 KEPT_WORDS = 400_000
 
+#: Letters of a word, at most; longer runs are read in pieces that share as many letters as the longest gram has.
+LONGEST = 64
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -47,7 +49,8 @@ def features(word: str) -> list[int]:
 
 
 def words(text: str | None) -> set[str]:
-    return {w[:64] for w in LETTERS.findall((text or "").lower())}
+    step = LONGEST - max(GRAMS)
+    return {w[i : i + LONGEST] for w in LETTERS.findall((text or "").lower()) for i in range(0, max(len(w) - max(GRAMS), 1), step)}
 
 
 @dataclass

@@ -475,6 +475,22 @@ def toxic_corpus(n=600):
     return rows, labels
 
 
+@pytest.mark.parametrize("n", [0, 1, 5, 63, 64, 65, 69, 70, 123, 124, 129, 1_000])
+def test_long_runs_of_letters_are_read_whole(n):
+    rng = random.Random(n)
+    run = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé漢") for _ in range(n))
+    found = toxicity.words(run)
+    assert all(len(w) <= 64 and w in run for w in found) and (n > 64 or found == ({run} if run else set()))
+    assert all(any(run[i : i + 5] in w for w in found) for i in range(max(n - 4, 0)))
+
+
+def test_a_toxic_word_glued_to_a_long_run_is_scored():
+    weights = np.zeros(toxicity.FEATURES, np.float32)
+    weights[zlib.crc32(b"deish") % toxicity.FEATURES] = 5
+    score = toxicity.Model(weights, -2.0).scorer()
+    assert score("x" * 100 + "rudeish") > 0.9 and score("x" * 100) < 0.5
+
+
 def test_toxicity_is_learnt_and_held_out(spark, frame):
     rows, labels = toxic_corpus()
     docs = frame(rows + [(None, None), (-1, ""), (-2, "calm1 " * 9_000 + "rud3eish rud4eish")])
