@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -19,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; a temporary one only where the session names none."""
+    """The folder that the driver and all executors see; a temporary one only where the session names none and all runs in one process."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="arrayloom-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -35,6 +38,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """``left.join(right, key, how)`` for a ``right`` of at most one row a key, with the hot keys of ``left`` split.
+
+    A key is hot beyond a thousandth of the rows of ``left`` (and 1,000): fewer than a thousand keys are, so their
+    list may be sent to every task. Their rows are dealt over parts by the hash of the column ``by``, and the row
+    of ``right`` is copied to each part: fewer than 2,000 copies in all.
+    """
+    many = max(left.count() // 1_000, 1_000)
+    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > many).select(key, F.ceil(F.col("__n") / many).cast("int").alias("__parts"))
+    parts = F.coalesce("__parts", F.lit(1))
+    left = left.join(F.broadcast(hot), key, "left").withColumn("__part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("__parts")
+    right = right.join(F.broadcast(hot), key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return left.join(right, [key, "__part"], how).drop("__part")
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for null. Counts run starts, without building the words."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

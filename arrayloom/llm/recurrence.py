@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrayloom.llm.common import materialise
+from arrayloom.llm.common import materialise, spread_join
 
 PRIME = 0x9E3779B97F4A7C15
 #: Elements of several texts that are worked on together.
@@ -89,7 +89,7 @@ def chunks(batch: pd.DataFrame, elements: Callable[[str], np.ndarray], most: int
 
 
 def recurring(docs: DataFrame, make_elements: Callable[[], Callable[[str], np.ndarray]], k: int, window: int, skip: DataFrame) -> DataFrame:
-    """(doc_id, anchors): the sampled grams of each document that are found at two places or more in the corpus.
+    """(doc_id, anchors, often): the sampled grams of each document that are found at two places or more in the corpus, and at how many.
 
     Grams are aggregated before the shuffle, to one row for those of a chunk of documents, so a gram that many
     documents share arrives once a chunk. ``skip`` holds doc_ids to leave out of the result.
@@ -116,17 +116,47 @@ def recurring(docs: DataFrame, make_elements: Callable[[], Callable[[str], np.nd
     found = docs.filter("doc_id is not null").select("doc_id", "text").mapInPandas(run, "h long, n int, doc_id long, more array<bigint>")
     # A gram has one row a chunk at most, so the rows that meet here are bounded by the chunks, not the documents.
     twice = found.withColumn("n", F.sum("n").over(Window.partitionBy("h"))).filter("n >= 2")
-    each = twice.select("h", F.explode(F.concat(F.array("doc_id"), F.coalesce("more", F.array().cast("array<bigint>")))).alias("doc_id"))
-    return each.join(skip, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_set("h").alias("anchors"))
+    each = twice.select("h", "n", F.explode(F.concat(F.array("doc_id"), F.coalesce("more", F.array().cast("array<bigint>")))).alias("doc_id"))
+    own = each.join(skip, "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_set(F.struct("h", "n")).alias("own"))
+    return own.select("doc_id", F.col("own.h").alias("anchors"), F.col("own.n").alias("often"))
 
 
 def copies(info: DataFrame) -> DataFrame:
     """doc_ids of documents whose whole text is also that of a smaller id; ``info`` has doc_id and th (128 bits)."""
     firsts = info.filter("doc_id is not null").groupBy("th").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("th", "first")
-    return info.join(firsts, "th").filter("doc_id <> first").select("doc_id").distinct()
+    return spread_join(info, firsts, "th", "doc_id").filter("doc_id <> first").select("doc_id").distinct()
 
 
 def candidates(docs: DataFrame, make_elements, k: int, window: int, skip: DataFrame) -> DataFrame:
-    """The documents that may hold a recurring window: doc_id, text and the anchors that tell where."""
+    """The documents that may hold a recurring window: doc_id, text, the anchors that tell where, and how often each is found."""
     found = recurring(docs, make_elements, k, window, skip)
     return materialise(docs.select("doc_id", "text").join(found, "doc_id"), "recurring")
+
+
+def anchor_table(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, how often each is found in the corpus) of all the anchors of some candidate documents."""
+    h = np.concatenate([np.asarray(a, np.int64) for a in rows["anchors"]]).view(np.uint64)
+    h, first = np.unique(h, return_index=True)
+    return h, np.concatenate([np.asarray(a, np.int64) for a in rows["often"]])[first]
+
+
+def by_group(batches: Iterator[pd.DataFrame], keys: list[str], most: int) -> Iterator[pd.DataFrame]:
+    """Whole groups of rows that are sorted by ``keys``, as many together as hold about ``most`` rows."""
+    held: list[pd.DataFrame] = []
+    count = 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        count += len(batch)
+        if count < most:
+            continue
+        own = batch[keys].to_numpy()
+        cut = np.flatnonzero((own[1:] != own[:-1]).any(axis=1))
+        if not len(cut):
+            continue  # the last group may go on
+        at = int(cut[-1]) + 1
+        yield pd.concat([*held[:-1], batch.iloc[:at]], ignore_index=True)
+        held, count = [batch.iloc[at:]], len(batch) - at
+    if held:
+        yield pd.concat(held, ignore_index=True)

@@ -5,7 +5,10 @@ such gram form a context of less than two windows' bytes; contexts meet by their
 suffix array over a chunk of contexts, with the common prefix of neighbours, is scanned with a stack: each
 interval of common prefix is a repeat, and it is maximal to the left if its suffixes are preceded by different
 bytes. The maximal repeats of LEAST bytes or more have all their occurrences, and every repeated window lies in one of
-them.
+them. Grams only bring contexts together: which bytes repeat, the interval tree alone decides.
+
+The contexts of a gram with more than BLOCK places are dealt by what stands beside the gram: a window that holds
+it also holds (LEAST - GRAM) / 2 bytes on one of its sides, so equal windows meet under that side's key.
 
 Defined results: a null text has no bytes; rows without an id are left as they are; ids are taken to be unique,
 and rows that repeat both id and text are one document; overlapping occurrences in one document count; an empty
@@ -14,18 +17,20 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrayloom.llm.common import materialise, table
-from arrayloom.llm.recurrence import candidates, chunks, copies, grams, least_grams, mix64
+from arrayloom.llm.common import materialise, spread_join, table
+from arrayloom.llm.recurrence import anchor_table, by_group, candidates, chunks, copies, least_grams, mix64
 
-LEAST, GRAM = 400, 64
-#: Bytes of contexts that share one suffix array, about; contexts of one gram that meet in one block.
+LEAST, GRAM = 400, 200
+#: Bytes of contexts that share one suffix array, about; contexts of one group that meet in one block.
 ARRAY_BYTES, BLOCK = 1_000_000, 2_048
 
 LETTERS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -39,46 +44,56 @@ def suffix_array(data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.nda
     """(suffixes in order, common prefix with the one before) of texts laid end to end, by doubling the compared length from seven.
 
     ``room`` is how many bytes are left of a byte's text. A text's end is a symbol before all bytes and unlike
-    every other end, so a suffix that has ended within the compared length has a rank of its own. The ranks by 7,
-    14, ... symbols are kept, and give each common prefix from the longest to the shortest.
+    every other end, so a suffix that has ended within the compared length has a rank of its own. A rank is the
+    place of a group's first suffix; only groups of several suffixes are sorted again. The ranks by 7, 14, ...
+    symbols are kept, and give each common prefix from the longest to the shortest.
     """
     n = len(data)
     padded = np.concatenate([data.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
     key = np.zeros(n, np.uint64)
     for i in range(7):
         key = key << np.uint64(9) | np.where(room > i, padded[i : i + n], np.uint64(0))
-    levels, length = [], 7
+    length = 7
+    order = np.argsort(key, kind="stable")  # ends stand in the order of their texts
+    open_, own, ended = np.arange(n), key[order], room[order] < length
+    rank = np.empty(n, np.int32)
+    levels = []
     while True:
-        order = np.argsort(key, kind="stable")  # ends stand in the order of their texts
-        sorted_ = key[order]
-        rank = np.empty(n, np.int32)
-        rank[order] = np.cumsum(np.r_[True, (sorted_[1:] != sorted_[:-1]) | (room[order[1:]] < length)])
-        levels.append((length, rank))
-        if int(rank.max()) == n:
+        new = np.r_[True, (own[1:] != own[:-1]) | ended[1:]]
+        rank[order[open_]] = open_[np.maximum.accumulate(np.where(new, np.arange(len(open_)), 0))]
+        levels.append((length, rank.copy()))
+        open_ = open_[~(new & np.r_[new[1:], True])]
+        if not len(open_):
             break
-        after = np.zeros(n, np.uint64)
-        after[: max(n - length, 0)] = rank[length:]
-        after[room <= length] = 0
-        key = rank.astype(np.uint64) << np.uint64(32) | after
+        some = order[open_]
+        inside = room[some] > length
+        after = np.where(inside, rank[np.where(inside, some + length, 0)].astype(np.uint64) + np.uint64(1), np.uint64(0))
+        own = rank[some].astype(np.uint64) << np.uint64(32) | after
+        again = np.argsort(own, kind="stable")
+        order[open_], own, ended = some[again], own[again], ~inside[again]
         length *= 2
     a, b = order[:-1], order[1:]
     common = np.zeros(n - 1, np.int64)
     most = np.minimum(room[a], room[b])
-    for length, rank in reversed(levels):
-        inside = common < most
-        i, j = np.where(inside, a + common, 0), np.where(inside, b + common, 0)
-        common += np.where(inside & (rank[i] == rank[j]) & (common + length <= most), length, 0)
+    near = np.flatnonzero(levels[0][1][a] == levels[0][1][b])  # the others share less than seven symbols
+    i, j, own, bound = a[near], b[near], np.zeros(len(near), np.int64), most[near]
+    for length, ranks in reversed(levels):
+        inside = own + length <= bound
+        x, y = np.where(inside, i + own, 0), np.where(inside, j + own, 0)
+        own += np.where(inside & (ranks[x] == ranks[y]), length, 0)
+    common[near] = own
     for _ in range(6):
         inside = common < most
-        i, j = np.where(inside, a + common, 0), np.where(inside, b + common, 0)
-        common += inside & (data[i] == data[j])
+        x, y = np.where(inside, a + common, 0), np.where(inside, b + common, 0)
+        common += inside & (data[x] == data[y])
     return order, np.r_[0, common]
 
 
 class Texts:
-    """Texts laid end to end, with their enhanced suffix array."""
+    """Texts laid end to end, with their enhanced suffix array; ``times`` tells how often each stands for, once if it is not given."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], times: np.ndarray | None = None):
+        self.times = np.ones(len(texts), np.int64) if times is None else times
         sizes = np.array([len(t) for t in texts], np.int64)
         self.starts, self.sizes = np.cumsum(sizes) - sizes, sizes
         self.data = np.frombuffer(b"".join(texts), np.uint8)
@@ -135,6 +150,10 @@ class Texts:
         mark = np.zeros(len(self.data) + 1, np.int64)
         np.add.at(mark, self.order[inside], 1)
         np.add.at(mark, self.order[inside] + longest[inside], -1)
+        # A text that stands for several is a repeat as it is.
+        whole = np.flatnonzero((self.times > 1) & (self.sizes >= least))
+        np.add.at(mark, self.starts[whole], 1)
+        np.add.at(mark, self.starts[whole] + self.sizes[whole], -1)
         gone = np.cumsum(mark[:-1]) > 0
         # A run ends with its text.
         edge = np.r_[False, self.owner[1:] != self.owner[:-1]] if len(gone) else gone
@@ -145,45 +164,40 @@ class Texts:
             yield i, a - int(self.starts[i]), b - int(self.starts[i])
 
 
+    def repeats(self, least: int = LEAST) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """(length, [(text, start)]) of the maximal repeats, with all occurrences; texts that stand for several among them."""
+        for length, first, end in self.intervals(least):
+            where = self.order[first:end]
+            yield length, list(zip(self.owner[where].tolist(), (where - self.starts[self.owner[where]]).tolist(), strict=True))
+        for i in np.flatnonzero((self.times > 1) & (self.sizes >= least)).tolist():
+            yield int(self.sizes[i]), [(i, 0)]
+
+    def string(self, place: tuple[int, int], length: int) -> bytes:
+        at = int(self.starts[place[0]]) + place[1]
+        return self.data[at : at + length].tobytes()
+
+
 def maximal_repeats(texts: list[bytes], least: int = LEAST) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """(length, [(text, start)]) of every repeat of ``least`` bytes or more that can't be extended at either end by all its occurrences alike."""
     if sum(map(len, texts)) < 2:
         return
-    t = Texts(texts)
-    for length, first, end in t.intervals(least):
-        where = t.order[first:end]
-        yield length, list(zip(t.owner[where].tolist(), (where - t.starts[t.owner[where]]).tolist(), strict=True))
+    yield from Texts(texts).repeats(least)
 
 
-def recurring_parts(texts: list[bytes], least: int = LEAST) -> Iterator[tuple[int, int, bytes]]:
-    """(text, start, bytes) of the runs of windows whose 64-bit fingerprint is found twice in the texts.
-
-    What shares a gram mostly differs further on. A window that recurs is always kept, and whatever else is kept
-    costs only room in the suffix array.
-    """
-    sizes = np.array([len(t) for t in texts])
-    data = b"".join(texts)
-    if len(data) < least:
-        return
-    starts = np.cumsum(sizes) - sizes
-    h = mix64(grams(LETTERS[np.frombuffer(data, np.uint8)], least))
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    at = np.flatnonzero((starts[owner] + sizes[owner] - np.arange(len(data)))[: len(h)] >= least)
-    order = np.argsort(h[at], kind="stable")
-    same = h[at[order[1:]]] == h[at[order[:-1]]]
-    twice = np.zeros(len(at), bool)
-    twice[order[1:]] |= same
-    twice[order[:-1]] |= same
-    kept = at[twice]
-    cuts = np.flatnonzero((np.diff(kept) > 1) | (np.diff(owner[kept]) > 0)) + 1
-    for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(kept)], strict=True):
-        if b > a:
-            i = owner[kept[a]]
-            yield int(i), int(kept[a] - starts[i]), data[kept[a] : kept[b - 1] + least]
+def flank_keys(context: bytes, places: np.ndarray) -> set[int]:
+    """Hashes of what stands on either side of each place of the gram, as far as every window needs on one side."""
+    side = (LEAST - GRAM) // 2
+    left = {context[p - side : p] for p in places.tolist() if p >= side}
+    right = {context[p + GRAM : p + GRAM + side] for p in places.tolist() if p + GRAM + side <= len(context)}
+    return {xxhash.xxh64_intdigest(x, seed=s) >> 1 for s, own in ((1, left), (2, right)) for x in own}
 
 
 def contexts(found: DataFrame) -> DataFrame:
-    """(h, doc_id, pos, context): the bytes around each run of windows with the recurring least gram ``h``."""
+    """(h, side, again, doc_id, pos, more, context): the bytes around each run of windows with the recurring least gram ``h``.
+
+    Equal contexts of a chunk of documents are one row, with the places of the others in ``more``. ``side`` is 0
+    but for grams of many places; ``again`` tells that a context has its gram at two places.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         elements = byte_elements()
@@ -191,85 +205,115 @@ def contexts(found: DataFrame) -> DataFrame:
             for rows, texts in chunks(batch, elements):
                 lengths = np.array([len(t) for t in texts])
                 x = np.concatenate(texts)
-                _, least = least_grams(x, lengths, GRAM, LEAST)
+                v, least = least_grams(x, lengths, GRAM, LEAST)
                 if not len(least):
                     continue
-                known = np.unique(np.concatenate([np.asarray(a, np.int64) for a in rows["anchors"]])).view(np.uint64)
+                known, often = anchor_table(rows)
                 cuts = np.r_[0, np.flatnonzero(least[1:] != least[:-1]) + 1, len(least)]
                 runs = np.flatnonzero(np.isin(least[cuts[:-1]], known) & (least[cuts[:-1]] != 0))
                 first, last = cuts[runs], cuts[runs + 1] - 1 + LEAST
+                hash_ = least[first]
+                hot = often[np.searchsorted(known, hash_)] > BLOCK
                 data = b"".join((t or "").encode() for t in rows["text"])
                 starts = np.cumsum(lengths) - lengths
-                row = np.searchsorted(starts, first, side="right") - 1
-                while len(row) and (lengths[row] == 0).any():  # empty texts share their start with the next
-                    row = np.where(lengths[row] == 0, row + 1, row)
-                yield pd.DataFrame({"h": least[first].view(np.int64), "doc_id": rows["doc_id"].to_numpy(np.int64)[row], "pos": (first - starts[row]).astype(np.int32), "context": [data[a:b] for a, b in zip(first, last, strict=True)]})
-
-    return found.mapInPandas(run, "h long, doc_id long, pos int, context binary")
-
+                row = np.searchsorted(starts, first, side="right") - 1  # the last of those that start there: not an empty one
+                ids, pos = rows["doc_id"].to_numpy(np.int64)[row], first - starts[row]
+                met: dict[tuple[int, bytes], list[int]] = {}
+                for i, key in enumerate(zip(hash_.tolist(), (data[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True)), strict=True)):
+                    met.setdefault(key, []).append(i)
+                out = []
+                for (h, context), own in met.items():
+                    i = own[0]
+                    at = np.flatnonzero(v[first[i] : last[i] - GRAM + 1] == np.uint64(h))
+                    more = [{"doc_id": int(ids[j]), "pos": int(pos[j])} for j in own[1:]]
+                    for side in flank_keys(context, at) if hot[i] else (0,):
+                        out.append((h - (h >> 63 << 64), side, len(at) > 1, int(ids[i]), int(pos[i]), more, context))
+                yield pd.DataFrame(out, columns=["h", "side", "again", "doc_id", "pos", "more", "context"])
+
+    return found.mapInPandas(run, "h long, side long, again boolean, doc_id long, pos int, more array<struct<doc_id:long,pos:int>>, context binary")
+
+
+def arrays(rows: pd.DataFrame) -> Iterator[tuple[Texts, list[list[tuple[int, int]]]]]:
+    """(texts, the places of each) of whole groups of contexts sorted by (h, side, x, y), as many together as an array holds.
+
+    Equal contexts of a group are one text. A group of one context, at one place and with its gram once, has
+    nothing that could repeat.
+    """
+    held: dict[bytes, set[tuple[int, int]]] = {}
+    size = 0
+    key = rows[["h", "side", "x", "y"]].to_numpy()
+    cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(rows)].tolist()
+    columns = [rows[c].tolist() for c in ("context", "doc_id", "pos", "more", "again")]
+
+    def array() -> tuple[Texts, list[list[tuple[int, int]]]]:
+        return Texts(list(held), np.array([len(own) for own in held.values()])), [sorted(own) for own in held.values()]
+
+    for start, end in zip(cuts, cuts[1:]):
+        group: dict[bytes, set[tuple[int, int]]] = {}
+        again = False
+        for context, d, p, more, twice in zip(*(c[start:end] for c in columns), strict=True):
+            own = group.setdefault(context, set())
+            own.add((d, p))
+            own.update((m["doc_id"], m["pos"]) for m in more)
+            again |= twice
+        if len(group) > 1 or again or len(next(iter(group.values()))) > 1:
+            for context, own in group.items():  # a context may be in several groups: it is not to meet itself
+                held.setdefault(context, set()).update(own)
+            size += sum(map(len, group))
+        if size >= ARRAY_BYTES:
+            yield array()
+            held, size = {}, 0
+    if held:
+        yield array()
+
+
+def met_contexts(found: DataFrame) -> DataFrame:
+    """The contexts in groups that lie together: by gram, by side, and by pairs of blocks where a group holds more than a block.
+
+    Each pair of blocks is a group of its own, so that a passage of any frequency is compared in bounded memory.
+    """
+    rows = contexts(found)
+    often = rows.filter("side <> 0").groupBy("h", "side").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
+    often = often.select("h", "side", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    hot = rows.filter("side <> 0").join(often, ["h", "side"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("context"), F.col("blocks")).cast("int")  # equal contexts go together
+    hot = hot.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    hot = hot.withColumn("x", F.least("own", "other")).withColumn("y", F.greatest("own", "other")).drop("blocks", "own", "other")
+    none = F.lit(0)
+    rows = rows.filter("side = 0").withColumn("x", none).withColumn("y", none).unionByName(hot)
+    return rows.repartition("h", "side", "x", "y").sortWithinPartitions("h", "side", "x", "y")
 
-def repeated_spans(met: DataFrame) -> DataFrame:
-    """(doc_id, start, end) of the bytes in maximal repeats, among contexts sorted by (h, x, y).
 
-    Equal contexts are one text of the array; a context found at several places is a repeat as it is.
-    """
+def repeated_strings(found: DataFrame) -> DataFrame:
+    """(doc_id, start, end) of the candidate documents' bytes in maximal repeats."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            key = batch[["h", "x", "y"]].to_numpy()
-            cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1]
-            rest = batch.iloc[cuts[-1] :]
-            yield from spans_of(batch.iloc[: cuts[-1]], cuts)
-        if rest is not None:
-            yield from spans_of(rest, np.zeros(1, np.int64))
-
-    def spans_of(rows: pd.DataFrame, cuts: np.ndarray) -> Iterator[pd.DataFrame]:
-        if not len(rows):
-            return
-        sizes = rows["context"].map(len).to_numpy().cumsum()
-        ends = [int(c) for c in cuts if 0 < c < len(rows)] + [len(rows)]
-        start = 0
-        for i, end in enumerate(ends):  # whole grams, as many as an array holds
-            if end == len(rows) or sizes[ends[i + 1] - 1] - (sizes[start - 1] if start else 0) > ARRAY_BYTES:
-                yield spans(rows.iloc[start:end])
-                start = end
-
-    def spans(rows: pd.DataFrame) -> pd.DataFrame:
-        places: dict[bytes, set[tuple[int, int]]] = {}
-        for t, d, p in zip(rows["context"], rows["doc_id"], rows["pos"], strict=True):
-            places.setdefault(t, set()).add((d, p))
-        out = [(d, p, p + len(t)) for t, own in places.items() if len(own) > 1 for d, p in own]
-        # The parts of contexts with windows that may recur; equal parts are one text again.
-        parts: dict[bytes, set[tuple[int, int]]] = {}
-        whole = list(places)
-        for i, start, part in recurring_parts(whole):
-            parts.setdefault(part, set()).update((d, p + start) for d, p in places[whole[i]])
-        out += [(d, p, p + len(t)) for t, own in parts.items() if len(own) > 1 for d, p in own]
-        texts, at = list(parts), [min(own) for own in parts.values()]
-        if texts:
-            out += [(at[i][0], at[i][1] + a, at[i][1] + b) for i, a, b in Texts(texts).covered()]
-        return pd.DataFrame(out, columns=["doc_id", "start", "end"]).astype("int64")
-
-    return met.mapInPandas(run, "doc_id long, start long, end long")
+        for rows in by_group(batches, ["h", "side", "x", "y"], BLOCK):
+            for texts, places in arrays(rows):
+                out = [(d, p + a, p + b) for i, a, b in texts.covered() for d, p in places[i]]
+                yield pd.DataFrame(out, columns=["doc_id", "start", "end"]).astype("int64")
 
+    return met_contexts(found).mapInPandas(run, "doc_id long, start long, end long")
 
-def repeated_strings(found: DataFrame) -> DataFrame:
-    """(doc_id, start, end) of the candidate documents' bytes in maximal repeats.
 
-    Where more contexts share a gram than a block holds, blocks of them meet in pairs, each pair in a task of
-    its own, so that a gram of any frequency is compared in bounded memory.
+def repeat_groups(docs: DataFrame) -> DataFrame:
+    """(repeat, length, doc_id, start): each maximal repeat of LEAST bytes or more, by the digest of its bytes, with all its occurrences.
+
+    Repeats are maximal within the contexts of a gram, of less than two windows; longer ones come in overlapping parts.
+    Whole texts are compared, copies of documents too. A periodic text has a square of occurrences.
     """
-    rows = contexts(found)
-    # Documents that know a gram as recurring: how often it can meet, without another pass over the texts.
-    often = found.select(F.explode("anchors").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK)
-    often = often.select("h", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(often, "h", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("context"), F.col("blocks")).cast("int")  # equal contexts go together
-    rows = rows.withColumn("own", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("h", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "doc_id", "pos", "context")
-    return repeated_spans(rows.repartition("h", "x", "y").sortWithinPartitions("h", "x", "y"))
+    docs = docs.filter("doc_id is not null").select("doc_id", "text").dropDuplicates()
+    found = candidates(docs, byte_elements, GRAM, LEAST, docs.select("doc_id").filter("false"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in by_group(batches, ["h", "side", "x", "y"], BLOCK):
+            for texts, places in arrays(rows):
+                yield pd.DataFrame(
+                    [(hashlib.md5(texts.string(own[0], length)).hexdigest(), length, d, p + a) for length, own in texts.repeats() for i, a in own for d, p in places[i]],
+                    columns=["repeat", "length", "doc_id", "start"],
+                )
+
+    return met_contexts(found).mapInPandas(run, "repeat string, length long, doc_id long, start long").distinct()
 
 
 def kept_bytes(text: str | None, spans) -> tuple[int, int, bytes]:
@@ -299,7 +343,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     cut = found.select("doc_id", "text").join(spans, "doc_id").mapInPandas(run, "doc_id long, n_removed long, n_spans long, kept binary")
     # A text found twice goes as a whole, in each of its documents.
-    alike = info.join(info.filter("doc_id is not null").groupBy("th").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b"), "th")
+    alike = spread_join(info, info.filter("doc_id is not null").groupBy("th").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b"), "th", "doc_id")
     whole = alike.filter("doc_id is not null").select("doc_id", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("kept")).dropDuplicates(["doc_id"])
     return whole.unionByName(cut.join(whole.select("doc_id"), "doc_id", "left_anti")).dropDuplicates(["doc_id"])
 

@@ -601,3 +601,49 @@ def test_words_are_the_same_everywhere(spark):
     text = "a\x1cb c \x0bd\x0c\re f\x85g"
     n = spark.createDataFrame([(text,)], "t string").select(word_count(F.col("t")).alias("n")).first().n
     assert n == len(words(text)) == len(text.encode().split()) and re.findall(WORD, text) == words(text)
+
+
+# the interval tree and the automata decide
+
+
+def test_the_interval_tree_decides(frame, corpus):
+    docs = frame(corpus).filter("doc_id is not null").select("doc_id", "text").dropDuplicates()
+    found = recurrence.candidates(docs, suffixes.byte_elements, suffixes.GRAM, suffixes.LEAST, docs.select("doc_id").filter("false"))
+    rows = suffixes.met_contexts(found).toPandas()
+    given, taken = collections.defaultdict(set), collections.defaultdict(set)
+    for texts, places in suffixes.arrays(rows):
+        for i, own in enumerate(places):
+            for d, p in own:
+                given[d] |= set(range(p, p + int(texts.sizes[i])))
+        for i, a, b in texts.covered():
+            for d, p in places[i]:
+                taken[d] |= set(range(p + a, p + b))
+    # Contexts hold more than what repeats; what the tree covers is just that.
+    assert {i: len(x) for i, x in taken.items()} == {i: v[0] for i, v in plain_strings(corpus).items() if v[0]}
+    assert sum(map(len, given.values())) > 1.2 * sum(map(len, taken.values()))
+
+
+def test_groups_of_repeats(frame, corpus):
+    texts = {i: (t or "").encode() for i, t in corpus if i is not None}
+    groups = collections.defaultdict(set)
+    for r in suffixes.repeat_groups(frame(corpus)).collect():
+        assert hashlib.md5(texts[r.doc_id][r.start : r.start + r.length]).hexdigest() == r.repeat and r.length >= 400
+        groups[r.repeat, r.length].add((r.doc_id, r.start))
+    assert groups and all(len(own) > 1 for own in groups.values())
+    inside = collections.defaultdict(set)
+    for (_, n), own in groups.items():
+        for i, a in own:
+            inside[i] |= set(range(a, a + n))
+    assert {i: len(x) for i, x in inside.items()} == {i: v[0] for i, v in plain_strings(corpus).items() if v[0]}
+
+
+@pytest.mark.parametrize("block", [1, 4])
+def test_a_gram_of_many_contexts(frame, monkeypatch, block):
+    monkeypatch.setattr(suffixes, "BLOCK", block)
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choices("abcdefg", k=n))
+    gram, left, right = letters(210), letters(150), letters(150)
+    rows = [(i, letters(rng.randint(0, 300)) + left[rng.randint(0, 150) :] + gram + right[: rng.randint(0, 150)] + letters(rng.randint(0, 300))) for i in range(40)]
+    rows += [(100 + i, gram * n) for i, n in enumerate((1, 2, 3, 5))] + [(200, (gram[:90] * 12)[:1_000]), (201, (gram[:90] * 9)[:700])]
+    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.without_repeats(frame(rows)).collect()}
+    assert got == {i: v for i, v in plain_strings(rows).items() if v[0]} and len(got) > 20
