@@ -1,10 +1,11 @@
 """Repeated passages of words, by automata of recurring phrases.
 
-Phrases of PHRASE words that are found at two places of the corpus are confirmed first. Each shard of documents
-compiles an Aho-Corasick automaton of its own recurring phrases and streams its documents through it, which
-locates every occurrence; a window of WINDOW words can only recur around one. Those windows are compared by
-96-bit hashes: the first of equal windows stays, the words of all later ones go. A shard's automaton is as large
-as the shard's own phrases, so neither its size nor the work of streaming grows with the number of shards.
+All documents are read for phrases of PHRASE words that are found at two places of the corpus; a window of WINDOW
+words can only recur around one. The windows that share such a phrase, in whichever documents, lie in one shard.
+Each shard confirms which windows recur, compiles them into an Aho-Corasick automaton, and streams all its text
+through it, which locates every occurrence word by word: the first of a window stays, the words of all later ones
+go. Hashes only bring texts together. A text is streamed by the shards whose phrases it holds, and there only as
+far as the phrase's windows reach, so the work grows with the corpus and not with the number of its shards.
 
 Defined results: a null text has no words; rows without an id, and texts of fewer words than a window, are left
 as they are; ids are taken to be unique, and rows that repeat both id and text are one document, not copies of
@@ -19,15 +20,17 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrayloom.llm.common import BLANKS, materialise, table, word_count
-from arrayloom.llm.recurrence import candidates, chunks, copies, grams, mix64, sampled
+from arrayloom.llm.recurrence import anchor_table, by_group, candidates, chunks, copies, grams, least_grams, mix64
 
 WINDOW, PHRASE = 20, 8
-#: Words of a shard, which has one automaton.
+#: Words of a shard, which has one automaton, about.
 SHARD = 200_000
+#: Places of a phrase beyond which its windows are dealt out one by one.
+HOT = 2_048
 KEPT_WORDS = 300_000
 
 
@@ -51,80 +54,156 @@ def word_hashes():
 
 
 def coded(numbers: np.ndarray) -> str:
-    """Three letters for each number below 2**18, each place with letters of its own, so that matches can't straddle words."""
+    """Three letters for each number below 2**54, each place with letters of its own, so that matches can't straddle words."""
+    numbers = np.asarray(numbers, np.int64)
     out = np.empty((len(numbers), 3), "<u4")
     for place in range(3):
-        out[:, place] = 0x100 + 64 * place + (numbers >> (6 * place) & 63)
+        out[:, place] = 0x10000 + (place << 18) + (numbers >> (18 * place) & (1 << 18) - 1)
     return out.tobytes().decode("utf-32-le")
 
 
+def letters(numbers: np.ndarray) -> tuple[str, int]:
+    """A text of the numbers, and its letters a number: one while there are enough of them, else three."""
+    if len(numbers) and int(numbers.max()) >= 0x10FF00 - 0x900:
+        return coded(numbers), 3
+    codes = numbers + 0x100
+    return (codes + np.where(codes >= 0xD800, 0x800, 0)).astype("<u4").tobytes().decode("utf-32-le"), 1
+
+
 def occurrences(text: str, automaton) -> np.ndarray:
-    """Places, in words, of every phrase of the automaton in a coded text."""
+    """Places, in words, of every phrase of PHRASE words of the automaton in a coded text."""
     return np.fromiter((end + 1 for end, _ in automaton.iter(text)), np.int64) // 3 - PHRASE
 
 
-def recurring_windows(words: np.ndarray, lengths: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Starts of the windows around an occurrence of a known phrase, in texts of word hashes laid end to end."""
-    at, h = sampled(words, lengths, PHRASE, WINDOW)
-    at = at[np.isin(h, known)]
-    if not len(at):
-        return at
-    _, numbers = np.unique(words, return_inverse=True)
+def compiled(text: str, each: int, starts: np.ndarray) -> ahocorasick.Automaton:
+    """The automaton of the windows that start there, each under its own number."""
     automaton = ahocorasick.Automaton()
-    if numbers.max() < 1 << 18:
-        text = coded(numbers)
-        for p in at:
-            automaton.add_word(text[3 * p : 3 * (p + PHRASE)], True)
-        automaton.make_automaton()
-        places = occurrences(text, automaton)
-    else:  # one text of more different words than the code has: its sampled places will do
-        places = at
-    near = np.zeros(len(words) + 1, np.int64)
-    np.add.at(near, np.maximum(places - (WINDOW - PHRASE), 0), 1)
-    np.add.at(near, places + 1, -1)
-    ends = np.repeat(np.cumsum(lengths), lengths)
-    return np.flatnonzero((np.cumsum(near[:-1]) > 0) & (ends - np.arange(len(words)) >= WINDOW))
-
-
-def window_rows(found: DataFrame) -> DataFrame:
-    """(w1, w2, doc_id, pos, sure): the first of each recurring window of a shard; the later ones, already sure to go, by themselves."""
+    for p in starts.tolist():
+        window = text[each * p : each * (p + WINDOW)]
+        if window not in automaton:
+            automaton.add_word(window, len(automaton))
+    automaton.make_automaton()
+    return automaton
+
+
+def contexts(found: DataFrame) -> DataFrame:
+    """(h, side, doc_id, pos, words, n): the words of each run of windows with the recurring least phrase ``h``, joined by a space.
+
+    Of equal contexts in a chunk of documents only the first is sent on; the ``n`` windows of the others are sure to
+    go and have no words. Where a phrase has more than HOT places, each window is a context of its own, under the
+    hash of its words as ``side``: equal windows still meet, and no task gets all contexts of the phrase.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         elements = word_hashes()
         for batch in batches:
             for rows, texts in chunks(batch, elements, SHARD):
                 lengths = np.array([len(t) for t in texts])
-                words = np.concatenate(texts)
-                known = np.unique(np.concatenate([np.asarray(a, np.int64) for a in rows["anchors"]])).view(np.uint64)
-                at = recurring_windows(words, lengths, known)
-                if not len(at):
+                x = np.concatenate(texts)
+                _, least = least_grams(x, lengths, PHRASE, WINDOW)
+                if not len(least):
                     continue
-                w1 = mix64(grams(words, WINDOW))[at]
-                w2 = (mix64(grams(mix64(words), WINDOW, 0xC2B2AE3D27D4EB4F))[at] >> np.uint64(33)).astype(np.int32)
-                ids = np.repeat(rows["doc_id"].to_numpy(np.int64), lengths)[at]
-                pos = (np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths))[at]
-                order = np.lexsort((pos, ids, w2, w1))
-                w1, w2, ids, pos = w1[order].view(np.int64), w2[order], ids[order], pos[order]
-                same = np.r_[False, (w1[1:] == w1[:-1]) & (w2[1:] == w2[:-1])]
-                # A repeated row is the same window at the same place.
-                again = np.r_[False, (ids[1:] == ids[:-1]) & (pos[1:] == pos[:-1])] & same
-                first = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
-                sure = same & ~again & ((ids != ids[first]) | (pos != pos[first]))
-                w1 = np.where(sure, ids * 1_000_003 + pos, w1)  # rows that need not meet any others
-                w2 = np.where(sure, -1, w2)
-                keep = ~again
-                yield pd.DataFrame({"w1": w1[keep], "w2": w2[keep], "doc_id": ids[keep], "pos": pos[keep].astype(np.int32), "sure": sure[keep]})
-
-    return found.mapInPandas(run, "w1 long, w2 int, doc_id long, pos int, sure boolean")
+                known, often = anchor_table(rows)
+                cuts = np.r_[0, np.flatnonzero(least[1:] != least[:-1]) + 1, len(least)]
+                runs = np.flatnonzero(np.isin(least[cuts[:-1]], known) & (least[cuts[:-1]] != 0))
+                first, end = cuts[runs], cuts[runs + 1]
+                hot = often[np.searchsorted(known, least[first])] > HOT
+                single = np.concatenate([np.arange(a, b) for a, b in zip(first[hot], end[hot], strict=True)]) if hot.any() else np.empty(0, np.int64)
+                first, end = np.r_[first[~hot], single], np.r_[end[~hot], single + 1]
+                sides = np.r_[np.zeros(int((~hot).sum()), np.uint64), mix64(grams(x, WINDOW))[single] | np.uint64(1)].view(np.int64)
+                starts = np.cumsum(lengths) - lengths
+                row = np.searchsorted(starts, first, side="right") - 1
+                ids, pos = rows["doc_id"].to_numpy(np.int64)[row], first - starts[row]
+                order = np.lexsort((pos, ids))
+                held, at, words = {}, -1, []
+                out = []
+                texts_ = rows["text"].tolist()
+                for i in order.tolist():
+                    if row[i] != at:
+                        at = row[i]
+                        words = (texts_[at] or "").encode().split()
+                    own = b" ".join(words[pos[i] : pos[i] + end[i] - first[i] + WINDOW - 1])
+                    h, place = int(least[first[i]].view(np.int64)), (int(ids[i]), int(pos[i]))
+                    known_place = held.setdefault((h, own), place)
+                    if known_place is place:
+                        out.append((h, int(sides[i]), *place, own, int(end[i] - first[i])))
+                    elif known_place != place:  # a repeated row is the same context at the same place
+                        out.append((place[0] * 1_000_003 + place[1], 0, *place, None, int(end[i] - first[i])))
+                yield pd.DataFrame(out, columns=["h", "side", "doc_id", "pos", "words", "n"])
+
+    return found.mapInPandas(run, "h long, side long, doc_id long, pos int, words binary, n int")
+
+
+def located(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(doc_id, start) of the windows that an automaton finds at an earlier place too, among whole groups of contexts sorted by (h, side).
+
+    A shard is as many groups as hold about SHARD words. Windows that are found twice by hash are its recurring
+    phrases; its automaton of these streams all the shard's contexts, and its matches alone tell what is equal.
+    """
+    key = rows[["h", "side"]].to_numpy()
+    cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(rows)].tolist()
+    ids, pos, contexts_ = rows["doc_id"].to_numpy(np.int64), rows["pos"].to_numpy(np.int64), rows["words"].tolist()
+    numbers: dict[bytes, int] = {}
+    shard: list[int] = []
+    flat: list[int] = []
+    sizes: list[int] = []
+
+    def found() -> tuple[np.ndarray, np.ndarray]:
+        x, lengths = np.array(flat, np.int64), np.array(sizes)
+        row = np.repeat(np.arange(len(shard)), lengths)
+        begin = np.cumsum(lengths) - lengths
+        whole = np.flatnonzero((begin + lengths)[row] - np.arange(len(x)) >= WINDOW)
+        hashes = mix64(grams(mix64(x.view(np.uint64) + np.uint64(1)), WINDOW))[whole]
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order[1:]] == hashes[order[:-1]]
+        new = whole[order[np.flatnonzero(same & ~np.r_[False, same[:-1]])]]
+        if not len(new):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        text, each = letters(x)
+        automaton = compiled(text, each, new)
+        hits = np.fromiter((v for hit in automaton.iter(text) for v in hit), np.int64).reshape(-1, 2)
+        at, phrase = (hits[:, 0] + 1) // each - WINDOW, hits[:, 1]
+        inside = at + WINDOW <= (begin + lengths)[row[at]]  # not across two contexts
+        at, phrase = at[inside], phrase[inside]
+        mine = np.array(shard)[row[at]]
+        doc, start = ids[mine], pos[mine] + at - begin[row[at]]
+        order = np.lexsort((start, doc, phrase))
+        doc, start, phrase = doc[order], start[order], phrase[order]
+        opens = np.r_[True, phrase[1:] != phrase[:-1]]
+        lead = np.maximum.accumulate(np.where(opens, np.arange(len(phrase)), 0))
+        later = (doc != doc[lead]) | (start != start[lead])
+        return doc[later], start[later]
+
+    for a, b in zip(cuts, cuts[1:]):
+        for i in range(a, b):
+            context = contexts_[i]
+            if context is None:
+                continue
+            words = context.split(b" ")
+            shard.append(i)
+            sizes.append(len(words))
+            flat.extend([numbers.setdefault(w, len(numbers)) for w in words])
+        if len(flat) >= SHARD:
+            yield found()
+            numbers, shard, flat, sizes = {}, [], [], []
+    if shard:
+        yield found()
 
 
 def removals(found: DataFrame) -> DataFrame:
     """(doc_id, starts): windows whose words also start earlier in the corpus."""
-    rows = window_rows(found)
-    # Equal windows of a shard are one row, so those that meet are bounded by the shards.
-    first = F.min(F.struct("doc_id", "pos")).over(Window.partitionBy("w1", "w2"))
-    gone = rows.withColumn("first", first).filter(F.col("sure") | (F.struct("doc_id", "pos") != F.col("first")))
-    return gone.groupBy("doc_id").agg(F.collect_set("pos").alias("starts"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in by_group(batches, ["h", "side"], SHARD // WINDOW):
+            sure = rows[rows["words"].isna()]
+            n = sure["n"].to_numpy(np.int64)
+            starts = np.repeat(sure["pos"].to_numpy(np.int64) - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield pd.DataFrame({"doc_id": np.repeat(sure["doc_id"].to_numpy(np.int64), n), "pos": starts.astype(np.int32)})
+            for doc, start in located(rows):
+                yield pd.DataFrame({"doc_id": doc, "pos": start.astype(np.int32)})
+
+    rows = contexts(found).repartition("h", "side").sortWithinPartitions("h", "side")
+    return rows.mapInPandas(run, "doc_id long, pos int").groupBy("doc_id").agg(F.collect_set("pos").alias("starts"))
 
 
 def kept_words(text: str | None, starts) -> tuple[int, list[bytes]]:
@@ -152,7 +231,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_removed": [n for n, _ in kept], "kept": [b" ".join(w).decode() for _, w in kept]})
 
     cut = found.select("doc_id", "text").join(gone, "doc_id").mapInPandas(run, "doc_id long, n_removed long, kept string")
-    whole = later.join(info, "doc_id").select("doc_id", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"))
+    whole = info.join(later, "doc_id").select("doc_id", F.col("n_words").alias("n_removed"), F.lit("").alias("kept"))
     return cut.unionByName(whole).dropDuplicates(["doc_id"])
 
 

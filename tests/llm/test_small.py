@@ -647,3 +647,41 @@ def test_a_gram_of_many_contexts(frame, monkeypatch, block):
     rows += [(100 + i, gram * n) for i, n in enumerate((1, 2, 3, 5))] + [(200, (gram[:90] * 12)[:1_000]), (201, (gram[:90] * 9)[:700])]
     got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.without_repeats(frame(rows)).collect()}
     assert got == {i: v for i, v in plain_strings(rows).items() if v[0]} and len(got) > 20
+
+
+@pytest.mark.parametrize("hot", [0, 3])
+def test_a_phrase_of_many_places(frame, monkeypatch, corpus, hot):
+    monkeypatch.setattr(substrings, "HOT", hot)
+    monkeypatch.setattr(substrings, "SHARD", 300)
+    rng = random.Random(22)
+    vocabulary = [f"w{i}" for i in range(30)]
+    phrase, left, right = (rng.choices(vocabulary, k=n) for n in (9, 16, 16))
+    rows = [(10_000 + i, " ".join(left[rng.randint(0, 16) :] + phrase + right[: rng.randint(0, 16)])) for i in range(60)] + list(corpus)
+    got = {r.doc_id: (r.n_removed, r.kept) for r in substrings.without_repeats(frame(rows)).collect()}
+    assert got == {i: v for i, v in plain_passages(rows).items() if v[0]} and len(got) > 40
+
+
+def test_the_automaton_decides(frame, corpus, monkeypatch):
+    docs = frame(corpus).filter("doc_id is not null").select("doc_id", "text").dropDuplicates()
+    found = recurrence.candidates(docs, substrings.word_hashes, substrings.PHRASE, substrings.WINDOW, docs.select("doc_id").filter("false"))
+    rows = substrings.contexts(found).toPandas().sort_values(["h", "side"], ignore_index=True)
+    gone = lambda: {(int(d), int(p)) for own in substrings.located(rows) for d, p in zip(*own, strict=True)}
+    want = gone()
+    assert want
+    # Were all windows taken to recur, the matches would be the same; without matches nothing goes.
+    monkeypatch.setattr(substrings, "mix64", np.zeros_like)
+    monkeypatch.setattr(substrings, "compiled", lambda text, each, _, make=substrings.compiled: make(text, each, np.arange(len(text) // each - 19)))
+    assert gone() == want
+
+    class Nothing:
+        iter = staticmethod(lambda text: [])
+
+    monkeypatch.setattr(substrings, "compiled", lambda *_: Nothing)
+    assert not gone()
+
+
+def test_letters_of_many_words():
+    for numbers in (np.array([0, 0xD6FF, 0xD700, 0xD701, 1_000_000]), np.array([0, 1_200_000, (1 << 54) - 1])):
+        text, each = substrings.letters(numbers)
+        assert len(text) == each * len(numbers) and len({text[i : i + each] for i in range(0, len(text), each)}) == len(numbers)
+        text.encode("utf-8")
