@@ -415,7 +415,7 @@ def test_formats_are_learnt():
 def test_candidates_lie_between_the_spans():
     text = f"{KEY}1234567890123456 1234567890123456 abcdefghijklmnopq password={KEY}"
     spans = secrets.base_spans(text)
-    assert [text[a:b] for a, b, _ in secrets.candidates(text, spans)] == ["1234567890123456"]
+    assert [text[a:b] for a, b, _ in secrets.candidates(text, spans)] == ["1234567890123456", "abcdefghijklmnopq"]
 
 
 def test_scan_and_redact(frame, corpus):
@@ -685,3 +685,89 @@ def test_letters_of_many_words():
         text, each = substrings.letters(numbers)
         assert len(text) == each * len(numbers) and len({text[i : i + each] for i in range(0, len(text), each)}) == len(numbers)
         text.encode("utf-8")
+
+
+def plain_states(texts, alpha=0.05):
+    """Plain ALERGIA, which merges states of any depth: how many states are left."""
+    spread = math.sqrt(0.5 * math.log(2 / alpha))
+    tree = [[0, 0, {}]]
+    for text in texts:
+        at = 0
+        for c in text:
+            tree[at][0] += 1
+            if c not in tree[at][2]:
+                tree[at][2][c] = [0, len(tree)]
+                tree.append([0, 0, {}])
+            tree[at][2][c][0] += 1
+            at = tree[at][2][c][1]
+        tree[at][0] += 1
+        tree[at][1] += 1
+    differ = lambda x, n, y, m: abs(x / n - y / m) > spread * (n**-0.5 + m**-0.5)
+
+    def alike(p, q):
+        n, m = tree[p][0], tree[q][0]
+        if differ(tree[p][1], n, tree[q][1], m):
+            return False
+        pairs = [(tree[p][2].get(c, (0, None)), tree[q][2].get(c, (0, None))) for c in {*tree[p][2], *tree[q][2]}]
+        return all(not differ(x[0], n, y[0], m) and (x[1] is None or y[1] is None or alike(x[1], y[1])) for x, y in pairs)
+
+    def fold(p, q):
+        tree[p][0] += tree[q][0]
+        tree[p][1] += tree[q][1]
+        for c, (n, to) in tree[q][2].items():
+            if c in tree[p][2]:
+                tree[p][2][c][0] += n
+                fold(tree[p][2][c][1], to)
+            else:
+                tree[p][2][c] = [n, to]
+
+    red, blue = [0], sorted((e[1], 0, c) for c, e in tree[0][2].items())
+    while blue:
+        at, parent, c = blue.pop(0)
+        for old in red:
+            if alike(old, at):
+                tree[parent][2][c][1] = old
+                fold(old, at)
+                break
+        else:
+            red.append(at)
+        blue = sorted({(e[1], s, c) for s in red for c, e in tree[s][2].items() if e[1] not in red})
+    return len(red)
+
+
+def random_tokens(rng, letters, n, count, prefix=""):
+    return [prefix + "".join(rng.choices(letters, k=n)) for _ in range(count)]
+
+
+def test_states_keep_depth_and_length():
+    rng = random.Random(31)
+    hexes = random_tokens(rng, "0123456789abcdef", 40, 60)
+    a = secrets.infer(hexes)
+    assert plain_states(hexes) <= 3  # all lengths are forgotten
+    # A state for each length at least; stops are at the end alone, and all examples pass each depth.
+    states = a.states()
+    assert {a.depth[s] for s in states} == set(range(41)) and all(a.stops[s] == 0 or a.depth[s] == 40 for s in states)
+    assert all(sum(a.passes[s] for s in states if a.depth[s] == d) == 60 for d in range(41))
+
+
+def test_an_unlabelled_format_is_found_and_plain_hashes_are_not(frame):
+    rng = random.Random(32)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    prose = ["".join(rng.choices("aeiourstnlmdchbg", k=rng.randint(2, 14))) for _ in range(3_000)]
+    text = lambda n: " ".join(rng.choices(prose, k=n))
+    rows = [(i, f"{text(40)} token={t} {text(30)}.") for i, t in enumerate(random_tokens(rng, base62, 36, 80, "ghq_"))]
+    hidden = random_tokens(rng, base62, 36, 100, "ghq_")
+    rows += [(1_000 + i, f"{text(20)} see {t}{'.' if i % 2 else ''} {text(20)}") for i, t in enumerate(hidden)]
+    other = random_tokens(rng, "0123456789abcdef", 31, 50) + random_tokens(rng, "0123456789abcdef", 20, 50) + random_tokens(rng, base62, 36, 50, "x") + random_tokens(rng, base62, 20, 50, "ghq_")
+    rows += [(2_000 + i, f"{text(20)} sum {t} {text(20)}") for i, t in enumerate(other)]
+    docs = frame(rows)
+    got = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == "inferred"] for r in secrets.scan(docs, secrets.learn(docs)).collect()}
+    assert sum(got[1_000 + i] == [t] for i, t in enumerate(hidden)) >= 90
+    assert sum(bool(v) for i, v in got.items() if not 1_000 <= i < 2_000) <= 3
+
+
+def test_a_bound_ends_a_score_early():
+    a = secrets.infer(random_tokens(random.Random(33), "0123456789abcdef", 40, 60))
+    assert a.likelihood("z" * 100_000, 62, (-5.0, -30.0)) is None and a.likelihood(KEY, 62, (-6.0, -1.0)) == a.likelihood(KEY, 62)
+    assert a.likelihood(KEY[:39], 62, (-6.0, -1.0)) is None and a.likelihood(KEY + "0", 62, (-6.0, -1.0)) is None
+    assert list(secrets.candidates("a." + "b" * 9 + "... .........", [])) == [(0, 11, "a." + "b" * 9)]
