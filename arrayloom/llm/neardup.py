@@ -8,8 +8,8 @@ of 2e-8 at a likeness of 0.85 and 1.1e-6 at 0.80. Likenesses at which it is abov
 
 Equal shingle sets are one node from the start. First every node of a key is compared with the key's least node
 only, and the confirmed links are followed to components. Then all pairs under a key that lie in different
-components and whose long sketches are close are compared too: what is never compared is already connected or
-too far apart. A key's nodes meet in blocks, so no task holds all of a frequent key.
+components are compared too, but for those whose sizes or long sketches prove that they are too far apart: what is
+never compared is already connected or too far apart. A key's nodes meet in blocks, so no task holds all of a frequent key.
 
 Defined results: texts without words are linked with nothing; shingles beyond the last whole one don't exist, and
 fewer than ``width`` words are one shingle; rows without an id are kept and linked with nothing; repeated rows
@@ -26,14 +26,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrayloom.llm.common import materialise, table
+from arrayloom.llm.common import materialise, spread_join, table
 from arrayloom.llm.components import components
 
 WIDTH, PERCENT = 5, 85
 SYMBOLS, CHUNKS, DISTANCE = 32, 8, 15
 #: The chance of missing a pair of just the likeness asked for, at most.
 MISSED = 1e-5
-#: Bytes of a long sketch; a set of fewer shingles is nearly all in it.
+#: Bytes of a long sketch.
 BINS = 1_024
 #: Nodes of a key that meet in one block.
 BLOCK = 512
@@ -86,29 +86,21 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def sketch(found: np.ndarray) -> bytes:
-    """One byte for each of BINS bins: from the least hash that falls in it, 0 in an empty bin."""
-    order = mix64(found * np.uint64(0x9E3779B97F4A7C15))
-    order.sort()
-    bins = (order % np.uint64(BINS)).astype(np.int64)
-    out = np.zeros(BINS, np.uint8)
-    value = (mix64(order) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
-    out[bins[::-1]] = value[::-1]  # the last written is the least
-    return out.tobytes()
+    """One byte for each of BINS bins: the sum of the checks of all hashes that fall in it."""
+    h = mix64(found * np.uint64(0x9E3779B97F4A7C15))
+    check = (h >> np.uint64(40)) % np.uint64(255) + np.uint64(1)
+    return (np.bincount((h % np.uint64(BINS)).astype(np.int64), check, BINS).astype(np.int64) & 255).astype(np.uint8).tobytes()
 
 
 def close(a: np.ndarray, b: np.ndarray, n_a, n_b, percent: int = PERCENT) -> np.ndarray:
-    """Whether sets of n_a and n_b members with these sketches can be as like as that.
+    """Whether sets of n_a and n_b members with these sketches can be as like as that; never false of a pair that is.
 
-    Their sizes must be as near as their likeness. The filled bins hold a random part of the union's members,
-    each once, so the differing ones are hypergeometric: within 4.5 deviations of what that likeness gives.
+    Their sizes must be as near as their likeness. Bins that differ hold at least a member each that is in one set
+    only, and of these there are at most (1 - likeness) / (1 + likeness) of both sizes.
     """
-    full = ((a != 0) | (b != 0)).sum(-1)
     differ = (a != b).sum(-1)
-    like = percent / 100
-    union = (n_a + n_b) / (1 + like)
-    spread = like * (1 - like) * full * np.maximum(union - full, 0) / np.maximum(union - 1, 1)
     sizes = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-    return sizes & (differ <= (1 - like) * full + 4.5 * np.sqrt(spread) + 1)
+    return sizes & (differ * (100 + percent) <= (100 - percent) * (n_a + n_b))
 
 
 def missed(percent: int) -> float:
@@ -150,9 +142,9 @@ def with_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) whose sets are as like as asked, in whole numbers."""
+    """The pairs (a, b) whose sets are as like as asked, in whole numbers; the pairs of a node that is in many are split."""
     named = lambda x: sets.select(F.col("id").alias(x), F.col("hashes").alias(f"set_{x}"))
-    joined = pairs.join(named("b"), "b").join(named("a"), "a")
+    joined = spread_join(spread_join(pairs, named("b"), "b", "a"), named("a"), "a", "b")
     both = F.size(F.array_intersect("set_a", "set_b"))
     return joined.select("a", "b", both.alias("n"), (F.size("set_a") + F.size("set_b")).alias("all")).filter(F.col("n") * 100 >= (F.col("all") - F.col("n")) * percent).select("a", "b").distinct()
 
@@ -190,12 +182,17 @@ def near_pairs(rows: pd.DataFrame, percent: int):
 def cross_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of different components among the members of each key."""
     rows = members.join(labels, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    open_ = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n")).filter("low <> high")
-    open_ = open_.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    # Members of a component per key, added up before the shuffle. A key's largest component meets the others only.
+    parts = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    open_ = parts.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n")).filter("comps > 1")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    open_ = open_.select("key", F.col("top.comp").alias("top"), blocks(F.col("top.n")).alias("tops"), blocks(F.col("n") - F.col("top.n")).alias("rests"))
     rows = rows.select("key", "id", "comp").join(open_, "key").join(nodes.select("id", "sig", "sketch", F.col("n_shingles").alias("n")), "id")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.withColumn("own", own).select("*", other)
+    # The others' blocks come first, 0 to rests - 1. A member of the largest component goes to its own block's meetings
+    # with each of them; any other meets all blocks.
+    is_top = F.col("comp") == F.col("top")
+    rows = rows.withColumn("own", F.when(is_top, F.col("rests") + F.pmod(F.xxhash64("id"), F.col("tops"))).otherwise(F.pmod(F.xxhash64("id"), F.col("rests"))).cast("int"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.when(is_top, F.col("rests")).otherwise(F.col("rests") + F.col("tops")) - 1)).alias("other"))
     rows = rows.select("key", "id", "comp", "sig", "sketch", "n", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"))
     # Which of a signature's keys this is; equal to all members of the key.
     size = SYMBOLS // CHUNKS
@@ -225,7 +222,7 @@ def cross_pairs(nodes: DataFrame, members: DataFrame, labels: DataFrame, percent
 def close_stars(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sketches are close."""
     named = lambda x: nodes.select(F.col("id").alias(x), F.col("sketch").alias(f"s_{x}"), F.col("n_shingles").alias(f"n_{x}"))
-    joined = pairs.join(named("b"), "b").join(named("a"), "a")
+    joined = spread_join(spread_join(pairs, named("b"), "b", "a"), named("a"), "a", "b")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -246,10 +243,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     keys = keys_of(nodes)
     shared = keys.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")
     members = materialise(keys.join(shared, "key"), "dup-members")
-    stars = members.filter("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    stars = materialise(members.filter("hub <> id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "dup-stars")
     wanted = members.select("id").distinct().join(nodes.select("id", F.col("th").alias("__th")), "id")
     sets = materialise(with_sets(texts.join(wanted, (F.col("doc_id") == F.col("id")) & (F.col("th") == F.col("__th")), "left_semi"), width), "dup-sets")
-    links = materialise(confirmed(close_stars(stars, nodes, percent), sets, percent), "dup-links")
+    links = materialise(confirmed(materialise(close_stars(stars, nodes, percent), "dup-close"), sets, percent), "dup-links")
     labels = components(links)
     crossing = materialise(cross_pairs(nodes, members, labels, percent), "dup-crossing")
     more = materialise(confirmed(crossing, sets, percent), "dup-links")

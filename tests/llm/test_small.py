@@ -771,3 +771,81 @@ def test_a_bound_ends_a_score_early():
     assert a.likelihood("z" * 100_000, 62, (-5.0, -30.0)) is None and a.likelihood(KEY, 62, (-6.0, -1.0)) == a.likelihood(KEY, 62)
     assert a.likelihood(KEY[:39], 62, (-6.0, -1.0)) is None and a.likelihood(KEY + "0", 62, (-6.0, -1.0)) is None
     assert list(secrets.candidates("a." + "b" * 9 + "... .........", [])) == [(0, 11, "a." + "b" * 9)]
+
+
+@settings(deadline=None)
+@given(st.sets(st.integers(0, 1 << 40), min_size=1, max_size=200), st.sets(st.integers(0, 1 << 40), max_size=30), st.integers(50, 99))
+def test_sketches_never_part_a_likely_pair(common, others, percent):
+    left, right = sorted(common | {x for x in others if x % 2}), sorted(common | {x for x in others if not x % 2})
+    both = len(set(left) & set(right))
+    a, b = (np.frombuffer(neardup.sketch(np.array(x, np.uint64)), np.uint8) for x in (left, right))
+    if 100 * both >= percent * (len(left) + len(right) - both):
+        assert neardup.close(a, b, len(left), len(right), percent)
+
+
+@pytest.mark.parametrize("block", [2, 5])
+def test_a_key_with_one_large_component(frame, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rng = random.Random(41)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(base[:-1] + [f"z{i}"])) for i in range(30)]
+    for i in range(40, 70):  # some are near the group, some near each other, most near nothing
+        own = list(base)
+        for p in rng.sample(range(120), rng.randint(1, 7)):
+            own[p] = f"y{rng.randrange(12)}"
+        rows.append((i, " ".join(own)))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(rows)).collect()}
+    want = {i: c for i, (_, c) in plain_components(rows).items()}
+    assert got == want and 2 < len(set(want.values())) < 40
+
+
+def test_spread_join(spark):
+    from arrayloom.llm.common import spread_join
+
+    left = spark.range(30_000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("k"), F.col("id").alias("v"))
+    right = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    assert sorted(map(tuple, spread_join(left, right, "k", "v").collect())) == sorted(map(tuple, left.join(right, "k").select("k", "v", "w").collect()))
+    assert spread_join(left, right, "k", "v", "left").count() == 30_000
+
+
+def test_cells_bound_every_score():
+    rng = np.random.default_rng(51)
+    for scale in (1, 300, 1 << 40):
+        x, q = (np.rint(rng.normal(size=(n, 6)) * scale).astype(np.int64) for n in (200, 20))
+        x[:, 3] = x[0, 3]  # a dimension of one value
+        _, low, width, cells = vectors.approximation(np.arange(200), x)
+        lower, upper = vectors.block_bounds(q.astype(float), np.frombuffer(low), np.frombuffer(width), np.frombuffer(cells, np.uint8).reshape(200, 6))
+        exact = np.array([[sum(int(a) * int(b) for a, b in zip(u, v)) for v in x] for u in q])
+        assert (lower <= exact).all() and (exact <= upper).all()
+        assert scale == 1 or (upper - lower).mean() < 0.1 * np.abs(exact).mean()
+
+
+def test_few_exact_vectors_are_read(spark):
+    rng = np.random.default_rng(52)
+    rows = [(i, [float(x) for x in rng.normal(size=16)]) for i in range(2_000)]
+    table = vectors.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    queries = table.filter("vec_id % 50 = 0")
+    left = vectors.survivors(vectors.approximation_file(table, 300), queries, 5, 16)
+    assert 5 * 40 <= left.count() < 12 * 40
+
+
+def test_scores_beyond_64_bits_are_an_error(spark):
+    table = vectors.whole_vectors(spark.createDataFrame([(0, [1e12] * 4), (1, [1e12] * 4)], "vec_id long, embedding array<double>"))
+    with pytest.raises(Exception, match="overflow|ARITHMETIC"):
+        vectors.top_k(table, table.filter("vec_id = 0")).collect()
+
+
+def test_a_vector_of_many_rows(spark):
+    rng = np.random.default_rng(53)
+    rows = [(i, [1.0, 2.0, 3.0] if i % 2 else [float(x) for x in rng.normal(size=3)]) for i in range(1_000)]
+    table = vectors.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    queries = table.filter("vec_id % 50 = 0 or vec_id < 20")
+    left = vectors.survivors(vectors.approximation_file(table, 250), queries, 5, 16)
+    assert left.groupBy("query_id").count().agg(F.max("count")).first()[0] <= 40
+    got = sorted(map(tuple, vectors.top_k(table, queries, 5, 250, 16).collect()))
+    good = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in [r.vec_id for r in queries.collect()]:
+        best = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)[:5]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert got == sorted(want)
