@@ -17,6 +17,7 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ from arrayloom.llm.common import table
 
 LONG = 256
 #: Words whose tokens a task keeps; the memory is given back when so many are held.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 
 def default_vocabulary() -> str:
@@ -150,7 +151,7 @@ class WordBpe:
 #: What ``code`` can return of a document: its type, and how it is had from the ids' and tokens' strings.
 OUTPUTS = {
     "n_tokens": ("long", lambda ids, decoded: ids.count(" ") + 1 if ids else 0),
-    "ids": ("array<int>", lambda ids, decoded: [int(x) for x in ids.split()]),
+    "ids": ("array<int>", lambda ids, decoded: np.array(ids.split(), np.int32)),  # flat: a batch's ids would be large as objects
     "decoded": ("string", lambda ids, decoded: decoded),
     "ids_sha256": ("string", lambda ids, decoded: hashlib.sha256(ids.encode()).hexdigest()),
     "decoded_sha256": ("string", lambda ids, decoded: hashlib.sha256(decoded.encode()).hexdigest()),

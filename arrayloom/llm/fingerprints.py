@@ -10,11 +10,14 @@ A fingerprint has SUBSETS parts, each the hash of the sorted distinct terms of a
 alone counts for texts without a term of the lexicon.
 
 Defined results: a null text is an empty one; equal texts have equal fingerprints; rows that repeat an id follow
-each other by text hash; null ids come last; an empty table gives an empty result.
+each other by text hash; null ids come last, by text hash too; columns named as what is added are replaced, all
+others pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +29,8 @@ BAND = (0.02, 0.2)
 SUBSETS, FIRST, SCALES = 32, 3, 5
 #: The hash of an empty array.
 NOTHING = 42
-#: Rows of a run of neighbouring ids, and how many runs there are at most.
-RUN_ROWS, MOST_RUNS = 1_024, 8_192
+#: Rows of a run of neighbouring ids, at least.
+RUN_ROWS = 1_024
 
 
 def long_array(values) -> Column:
@@ -76,12 +79,13 @@ def likeness(a: Column, b: Column, subsets: int = SUBSETS) -> Column:
 def with_next(docs: DataFrame, columns: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Adds next_<column> of the document that follows in descending order of ids; the first follows the last.
 
-    Ids are cut into runs at approximate quantiles, and each run is ordered by itself. The first row of each run
-    is also sent, as a guest, to the end of the run before it, so that no task sees all the rows.
+    Ids are cut into runs at approximate quantiles, null ids by text hash, and each run is ordered by itself. The
+    first row of each run is also sent, as a guest, to the end of the run before it, so that no task sees all the
+    rows. The runs, and the rows of a run, grow with the square root of the rows.
     """
     n = docs.count()
-    runs = min(MOST_RUNS, n // RUN_ROWS + 1)
-    cuts = docs.agg(F.percentile_approx(doc_id, [i / runs for i in range(1, runs)], 10_000)).first()[0] or [] if runs > 1 else []
+    runs = n // max(RUN_ROWS, math.isqrt(n)) + 1
+    cuts = docs.agg(F.percentile_approx(doc_id, [i / runs for i in range(1, runs)], max(10_000, 8 * runs))).first()[0] or [] if runs > 1 else []
     cuts = sorted(set(cuts))
     bounds, steps = long_array(cuts), [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
     # Binary search: how many cuts are not above the id; null ids come before all cuts.
@@ -90,8 +94,10 @@ def with_next(docs: DataFrame, columns: list[str], doc_id: str = "doc_id", text:
         F.lit(0).cast("long"),
         lambda at, step: F.when((at + step <= len(cuts)) & (F.get(bounds, (at + step - 1).cast("int")) <= F.col(doc_id)), at + step).otherwise(at),
     ) if cuts else F.lit(0).cast("long")
-    docs = docs.withColumn("__run", place).withColumn("__th", F.coalesce(F.xxhash64(text), F.lit(0)))
-    # One row a run: no more than MOST_RUNS.
+    docs = docs.withColumn("__th", F.coalesce(F.xxhash64(text), F.lit(0)))
+    nameless = F.shiftright((F.shiftright("__th", 32) + F.lit(1 << 31)) * F.lit(runs), 32) - F.lit(runs)
+    docs = docs.withColumn("__run", F.when(F.col(doc_id).isNull(), nameless).otherwise(place))
+    # One row a run: no more than twice ``runs``.
     heads = docs.groupBy("__run").agg(F.max(F.struct(doc_id, "__th")).alias("head"))
     around = Window.partitionBy().orderBy("__run")
     least = F.min("__run").over(Window.partitionBy())

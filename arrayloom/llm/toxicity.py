@@ -32,8 +32,9 @@ FEATURES = 1 << 18
 GRAMS = (4, 5)
 #: Words of a text that make its logit.
 TELLING = 8
-#: Rows that a classifier is fitted on, at most: these bound the driver's memory, not what is scored.
-MOST_POSITIVE, MOST_UNLABELLED = 3_000, 5_000
+#: Rows that a classifier is fitted on, at most, and characters of theirs together: these bound the driver's memory, not
+#: what is scored.
+MOST_POSITIVE, MOST_UNLABELLED, MOST_CHARS = 3_000, 5_000, 50_000_000
 KEPT_WORDS = 400_000
 
 #: Letters of a word, at most; longer runs are read in pieces that share as many letters as the longest gram has.
@@ -141,30 +142,40 @@ def start(corpus: Corpus, is_positive: np.ndarray) -> np.ndarray:
     return np.where(seen[1] >= 2, np.clip(ratio, 0, 3), 0) / 4
 
 
+def gradient(corpus: Corpus, is_positive: np.ndarray, weights: np.ndarray, bias: float, prior: float) -> tuple[float, float, np.ndarray, float]:
+    """(positive part, negative part of the risk, and the slopes by weight and bias that a step goes down).
+
+    They are those of the sum of both parts while the negative one is not below zero, and those of its opposite,
+    the negative part alone turned round, where it is.
+    """
+    by_word = corpus.word_weights(weights)
+    used = corpus.telling(by_word)
+    z = bias + np.bincount(corpus.row[used], by_word[corpus.words[used]], minlength=corpus.rows)
+    up = sigmoid(z)  # loss as a negative; 1 - up: loss as a positive
+    slope = up * (1 - up)
+    n_positive, n_unlabelled = is_positive.sum(), max((~is_positive).sum(), 1)
+    first, negative = prior * (1 - up[is_positive]).mean(), up[~is_positive].mean() - prior * up[is_positive].mean()
+    grad = np.zeros(corpus.rows)
+    if negative >= 0:
+        grad[is_positive] = -2 * prior * slope[is_positive] / n_positive
+        grad[~is_positive] = slope[~is_positive] / n_unlabelled
+    else:  # below zero: climb out of it
+        grad[is_positive] = prior * slope[is_positive] / n_positive
+        grad[~is_positive] = -slope[~is_positive] / n_unlabelled
+    of_words = np.bincount(corpus.words[used], grad[corpus.row[used]], minlength=corpus.count)
+    return float(first), float(negative), corpus.feature_sums(of_words), float(grad.sum())
+
+
 def fit(positive: list[str], unlabelled: list[str], prior: float, steps: int = 60, rate: float = 0.01, decay: float = 1e-4) -> Model:
     """Minimises the non-negative risk with the sigmoid loss by Adam, over all the rows at each step."""
-    n_positive, n_unlabelled = len(positive), len(unlabelled)
+    n_positive = len(positive)
     corpus = Corpus(unlabelled + positive)  # taken from the end
     is_positive = np.arange(corpus.rows) < n_positive
     weights, bias = start(corpus, is_positive), -2.0
     m, s, mb, sb = np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0
     for step in range(1, steps + 1):
-        by_word = corpus.word_weights(weights)
-        used = corpus.telling(by_word)
-        z = bias + np.bincount(corpus.row[used], by_word[corpus.words[used]], minlength=corpus.rows)
-        up = sigmoid(z)  # loss as a negative; 1 - up: loss as a positive
-        slope = up * (1 - up)
-        negative = up[~is_positive].mean() - prior * up[is_positive].mean()
-        grad = np.zeros(corpus.rows)
-        if negative >= 0:
-            grad[is_positive] = -2 * prior * slope[is_positive] / n_positive
-            grad[~is_positive] = slope[~is_positive] / max(n_unlabelled, 1)
-        else:  # below zero: climb out of it
-            grad[is_positive] = prior * slope[is_positive] / n_positive
-            grad[~is_positive] = -slope[~is_positive] / max(n_unlabelled, 1)
-        of_words = np.bincount(corpus.words[used], grad[corpus.row[used]], minlength=corpus.count)
-        g = corpus.feature_sums(of_words) + decay * weights / FEATURES
-        gb = grad.sum()
+        _, _, g, gb = gradient(corpus, is_positive, weights, bias, prior)
+        g += decay * weights / FEATURES
         m, s = 0.9 * m + 0.1 * g, 0.99 * s + 0.01 * g * g
         mb, sb = 0.9 * mb + 0.1 * gb, 0.99 * sb + 0.01 * gb * gb
         fix, fix2 = 1 - 0.9**step, 1 - 0.99**step
@@ -193,7 +204,16 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
     # At most ``most_positive`` ids are broadcast.
     rows = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left")
     rows = rows.select("text", F.col("__id").isNotNull().alias("positive"), in_sample.alias("sampled")).filter("positive or sampled")
-    got = rows.limit(2 * (most_positive + most_unlabelled)).toPandas()  # copies of one text are all in the sample or none
+    # Copies of one text are all in the sample or none. Texts come in the order of their hash, as far as the characters reach.
+    rows = rows.withColumn("__h", F.xxhash64("text")).withColumn("__n", F.length(F.coalesce("text", F.lit(""))).cast("long"))
+    sizes = rows.select("__h", "__n", "positive").orderBy("__h", "__n", "positive").limit(2 * (most_positive + most_unlabelled)).collect()
+    total, bound = 0, None
+    for r in sizes:
+        total += r["__n"]
+        if total > MOST_CHARS:
+            break
+        bound = r["__h"]
+    got = rows.filter(F.col("__h") <= F.lit(bound)).select("text", "positive", "sampled").limit(2 * (most_positive + most_unlabelled)).toPandas()
     got["text"] = got["text"].fillna("")
     positive, unlabelled = (got.loc[got[c], "text"].sort_values().tolist() for c in ("positive", "sampled"))
     del got

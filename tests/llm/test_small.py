@@ -849,3 +849,109 @@ def test_a_vector_of_many_rows(spark):
         best = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)[:5]
         want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
     assert got == sorted(want)
+
+
+def test_the_risk_and_its_slopes():
+    rng = np.random.default_rng(61)
+    rows, _ = toxic_corpus(60)
+    positive, unlabelled = [t for i, t in rows if i % 7 == 0], [t for _, t in rows]
+    corpus = toxicity.Corpus(unlabelled + positive)
+    is_positive = np.arange(corpus.rows) < len(positive)
+    weights = np.zeros(toxicity.FEATURES)
+    own = np.unique(corpus.features)
+    weights[own] = rng.normal(0.05, 0.1, len(own))
+    both = list(positive[::-1]) + list(unlabelled[::-1])  # as they are taken from the end
+
+    def plain(weights, bias, prior):
+        """The two parts of the risk, text by text."""
+        up = []
+        for t in both:
+            v = sorted((weights[toxicity.features(w)].sum() for w in toxicity.words(t)), reverse=True)[: toxicity.TELLING]
+            up.append(1 / (1 + math.exp(-(bias + sum(x for x in v if x > 0)))))
+        p, u = up[: len(positive)], up[len(positive) :]
+        return prior * (1 - np.mean(p)), np.mean(u) - prior * np.mean(p)
+
+    for prior, bias in ((0.1, -2.0), (0.95, -1.0)):
+        first, negative, slopes, of_bias = toxicity.gradient(corpus, is_positive, weights, bias, prior)
+        assert np.allclose((first, negative), plain(weights, bias, prior))
+        assert (negative < 0) == (prior > 0.5)
+        goal = lambda w, b: sum(plain(w, b, prior)) if negative >= 0 else -plain(w, b, prior)[1]
+        assert math.isclose((goal(weights, bias + 1e-5) - goal(weights, bias - 1e-5)) / 2e-5, of_bias, abs_tol=1e-6)
+        for f in own[np.argsort(-np.abs(slopes[own]))[:5]]:
+            up, down = weights.copy(), weights.copy()
+            up[f] += 1e-6
+            down[f] -= 1e-6
+            assert math.isclose((goal(up, bias) - goal(down, bias)) / 2e-6, slopes[f], rel_tol=1e-3, abs_tol=1e-7)
+
+
+def test_the_characters_of_a_sample_are_bounded(spark, frame, monkeypatch):
+    rows, labels = toxic_corpus(300)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = []
+    monkeypatch.setattr(toxicity, "fit", lambda positive, unlabelled, prior: kept.append(sum(map(len, positive + unlabelled))))
+    for most in (50_000_000, 9_000):
+        monkeypatch.setattr(toxicity, "MOST_CHARS", most)
+        toxicity.train(frame(rows + rows[:3]), known)
+    assert kept[0] > 50_000 and 0 < kept[1] <= 2 * 9_000
+
+
+def test_repeated_and_null_labels(spark, frame):
+    rows, labels = toxic_corpus()
+    docs = frame(rows + rows[:40]).withColumn("score", F.lit("own"))
+    odd = spark.createDataFrame([*labels, *labels[:50], (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")
+    got = toxicity.score(docs, toxicity.train(docs, odd)).select("doc_id", "score").collect()
+    assert len(got) == len(rows) + 40 and all(0 <= r.score <= 1 for r in got)
+    by = collections.defaultdict(set)
+    for r in got:
+        by[r.doc_id].add(r.score)
+    assert all(len(v) == 1 for v in by.values())
+
+
+def plain_parts(text, lexicon):
+    """A fingerprint's parts by the xxhash library: hashes of the sorted terms of each random part of the lexicon, then of all terms."""
+    import struct
+
+    import xxhash
+
+    signed = lambda h: h - (h >> 63 << 64)
+    number = lambda h, seed: signed(xxhash.xxh64_intdigest(struct.pack("<q", h), seed & (1 << 64) - 1))
+    terms = {signed(xxhash.xxh64_intdigest(w.lower().encode(), 42)) for w in words(text)}
+
+    def chain(hashes):
+        h = 42
+        for t in sorted(hashes):
+            h = number(t, h)
+        return h
+
+    parts = []
+    for i in range(fingerprints.SUBSETS):
+        share = 1 << fingerprints.FIRST + i % fingerprints.SCALES
+        pick = lambda t: signed(xxhash.xxh64_intdigest(struct.pack("<i", i), number(t, 42) & (1 << 64) - 1)) % share == 0
+        parts.append(chain(t for t in terms & lexicon if pick(t)))
+    return [*parts, chain(terms)]
+
+
+def plain_likeness(a, b):
+    had = [x == y for x, y in zip(a[:-1], b[:-1]) if not x == y == 42]
+    return sum(had) / len(had) if had else float(a[-1] == b[-1])
+
+
+def test_likeness_against_a_plain_version(spark):
+    got = {r.doc_id: r for r in registry.QUERIES["op9_i_match"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    lexicon = set(fingerprints.lexicon(docs))
+    rows = sorted(docs.collect(), key=lambda r: -r.doc_id)
+    for r, following in list(zip(rows, [*rows[1:], rows[0]]))[::5]:
+        half = len(r.text) // 2
+        own, edited, after = (plain_parts(t, lexicon) for t in (r.text, r.text[: len(r.text) - half] + following.text[:half], following.text))
+        assert got[r.doc_id].fingerprint == "-".join(f"{p & (1 << 64) - 1:x}" for p in own)
+        assert math.isclose(got[r.doc_id].near_edited, plain_likeness(own, edited)) and math.isclose(got[r.doc_id].near_next, plain_likeness(own, after))
+
+
+def test_the_next_of_rows_without_id(frame, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RUN_ROWS", 1)
+    rows = [(None, f"t{i}") for i in range(30)] + [(i, f"u{i}") for i in range(20)]
+    docs = frame(rows).withColumn("next_text", F.lit("own"))
+    got = fingerprints.with_next(docs, ["text"]).withColumn("th", F.xxhash64("text")).collect()
+    order = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.th), reverse=True)
+    assert [r.next_text for r in order] == [r.text for r in [*order[1:], order[0]]]
