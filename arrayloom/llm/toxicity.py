@@ -5,8 +5,9 @@ is p R+(positive) + max(0, R-(unlabelled) - p R-(positive)): the negative part i
 less what the toxic ones among them must add, and a batch in which it falls below zero is unlearnt instead of
 followed, which keeps it from overfitting.
 
-A text's logit is a bias plus its most telling distinct words' weights; a word's weight is the sum over its
-hashed letter n-grams and itself, so unseen forms of a stem are known by their grams. Nothing but the words
+A text's logit is a bias plus the weights, where above zero, of all its distinct words: calm words don't undo a
+toxic one. A word's weight is the sum over its hashed letter n-grams and itself, so unseen forms of a stem are
+known by their grams. Nothing but the words
 enters: no label, language, source or id.
 
 Defined results: null and empty texts score by the bias alone; repeated rows get equal scores; whole texts are
@@ -15,6 +16,7 @@ read; without a positive example every score is 0; an empty table gives an empty
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from array import array
@@ -30,8 +32,6 @@ from arrayloom.llm.common import table
 
 FEATURES = 1 << 18
 GRAMS = (4, 5)
-#: Words of a text that make its logit.
-TELLING = 8
 #: Rows that a classifier is fitted on, at most, and characters of theirs together: these bound the driver's memory, not
 #: what is scored.
 MOST_POSITIVE, MOST_UNLABELLED, MOST_CHARS = 3_000, 5_000, 50_000_000
@@ -73,8 +73,7 @@ class Model:
                 if v is None:
                     v = kept[w] = float(weights[features(w)].sum())
                 found.append(v)
-            found.sort(reverse=True)
-            z = bias + sum(v for v in found[:TELLING] if v > 0)
+            z = bias + math.fsum(v for v in found if v > 0)  # in whatever order the words come
             return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
         return score
@@ -121,14 +120,8 @@ class Corpus:
         return out
 
     def telling(self, by_word: np.ndarray) -> np.ndarray:
-        """Places in ``words`` of each row's TELLING heaviest words, those below zero left out."""
-        v = by_word[self.words]
-        some = np.flatnonzero(v > 0)
-        order = some[np.lexsort((-v[some], self.row[some]))]
-        rows = self.row[order]
-        starts = np.r_[True, rows[1:] != rows[:-1]] if len(rows) else np.zeros(0, bool)
-        place = np.arange(len(rows)) - np.maximum.accumulate(np.where(starts, np.arange(len(rows)), 0)) if len(rows) else rows
-        return order[place < TELLING]
+        """Places in ``words`` of those with a weight above zero."""
+        return np.flatnonzero(by_word[self.words] > 0)
 
 
 def start(corpus: Corpus, is_positive: np.ndarray) -> np.ndarray:
