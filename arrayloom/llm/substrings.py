@@ -134,6 +134,14 @@ def contexts(found: DataFrame) -> DataFrame:
     return found.mapInPandas(run, "h long, side long, doc_id long, pos int, words binary, n int")
 
 
+class Numbers(dict):
+    """Words by number, in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 def located(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(doc_id, start) of the windows that an automaton finds at an earlier place too, among whole groups of contexts sorted by (h, side).
 
@@ -143,13 +151,15 @@ def located(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     key = rows[["h", "side"]].to_numpy()
     cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(rows)].tolist()
     ids, pos, contexts_ = rows["doc_id"].to_numpy(np.int64), rows["pos"].to_numpy(np.int64), rows["words"].tolist()
-    numbers: dict[bytes, int] = {}
+    numbers = Numbers()
     shard: list[int] = []
-    flat: list[int] = []
+    held: list[bytes] = []
     sizes: list[int] = []
+    count = 0
 
     def found() -> tuple[np.ndarray, np.ndarray]:
-        x, lengths = np.array(flat, np.int64), np.array(sizes)
+        words = b" ".join(held).split(b" ")
+        x, lengths = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), np.array(sizes)
         row = np.repeat(np.arange(len(shard)), lengths)
         begin = np.cumsum(lengths) - lengths
         whole = np.flatnonzero((begin + lengths)[row] - np.arange(len(x)) >= WINDOW)
@@ -161,8 +171,8 @@ def located(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         text, each = letters(x)
         automaton = compiled(text, each, new)
-        hits = np.fromiter((v for hit in automaton.iter(text) for v in hit), np.int64).reshape(-1, 2)
-        at, phrase = (hits[:, 0] + 1) // each - WINDOW, hits[:, 1]
+        hits = np.fromiter(automaton.iter(text), [("end", "i8"), ("phrase", "i8")])
+        at, phrase = (hits["end"] + 1) // each - WINDOW, hits["phrase"]
         inside = at + WINDOW <= (begin + lengths)[row[at]]  # not across two contexts
         at, phrase = at[inside], phrase[inside]
         mine = np.array(shard)[row[at]]
@@ -175,17 +185,18 @@ def located(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         return doc[later], start[later]
 
     for a, b in zip(cuts, cuts[1:]):
-        for i in range(a, b):
-            context = contexts_[i]
-            if context is None:
+        group = [i for i in range(a, b) if contexts_[i] is not None]
+        if len(group) == 1:  # can only repeat itself, and so some word
+            own = contexts_[group[0]].split(b" ")
+            if len(set(own)) == len(own):
                 continue
-            words = context.split(b" ")
-            shard.append(i)
-            sizes.append(len(words))
-            flat.extend([numbers.setdefault(w, len(numbers)) for w in words])
-        if len(flat) >= SHARD:
+        shard += group
+        held += [contexts_[i] for i in group]
+        sizes += [contexts_[i].count(b" ") + 1 for i in group]
+        count += sum(sizes[len(sizes) - len(group) :])
+        if count >= SHARD:
             yield found()
-            numbers, shard, flat, sizes = {}, [], [], []
+            numbers, shard, held, sizes, count = Numbers(), [], [], [], 0
     if shard:
         yield found()
 
