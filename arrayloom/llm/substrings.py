@@ -14,6 +14,7 @@ each other; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrayloom.llm.common import BLANKS, materialise, table, word_count
+from arrayloom.llm.common import materialise, table
 from arrayloom.llm.recurrence import anchor_table, by_group, candidates, chunks, copies, grams, least_grams, mix64
 
 WINDOW, PHRASE = 20, 8
@@ -229,9 +230,29 @@ def kept_words(text: str | None, starts) -> tuple[int, list[bytes]]:
     return int((~stays).sum()), [w for w, s in zip(words, stays, strict=True) if s]
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) for each document that loses words; ``kept`` is its remaining words, joined by a space."""
-    info = materialise(docs.select("doc_id", word_count(F.col("text")).alias("n_words"), F.md5(F.coalesce("text", F.lit(""))).alias("th")), "passages-info")
+def described(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_words, th, sha256): the words of each text, the digest of the text, and that of its words joined by a space; written once."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for t in batch["text"]:
+                data = (t or "").encode()
+                words = data.split()
+                out.append((len(words), hashlib.md5(data).digest(), hashlib.sha256(b" ".join(words)).hexdigest()))
+            n, th, sha = zip(*out) if out else ((), (), ())
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": np.array(n, np.int64), "th": pd.Series(th, dtype=object, index=batch.index), "sha256": pd.Series(sha, dtype=object, index=batch.index)})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return materialise(docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, n_words long, th binary, sha256 string"), "passages-info")
+
+
+def without_repeats(docs: DataFrame, info: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept) for each document that loses words; ``kept`` is its remaining words, joined by a space.
+
+    ``info`` is what ``described`` gives of the documents, if it is at hand.
+    """
+    info = described(docs) if info is None else info
     later = materialise(copies(info.filter(F.col("n_words") >= WINDOW)), "passages-copies")
     found = candidates(docs, word_hashes, PHRASE, WINDOW, later)
     gone = removals(found)
@@ -249,9 +270,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def op5_repeated_phrases(spark, sf_dir):
     """Every document without the words of windows that also start earlier."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = without_repeats(docs).select("doc_id", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("cut_sha256"))
-    words = F.array_join(F.filter(F.split(F.coalesce("text", F.lit("")), BLANKS), lambda w: w != ""), " ")
-    base = docs.select("doc_id", word_count(F.col("text")).alias("n_words"), F.sha2(words.cast("binary"), 256).alias("sha256"))
+    base = described(docs)
+    cut = without_repeats(docs, base).select("doc_id", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("cut_sha256"))
     out = base.join(cut, "doc_id", "left")
     return out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
 
