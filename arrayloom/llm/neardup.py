@@ -37,7 +37,7 @@ MISSED = 1e-5
 BINS = 1_024
 #: Nodes of a key that meet in one block.
 BLOCK = 512
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 PRIME = np.uint64(0x100000001B3)
 

@@ -35,7 +35,7 @@ GRAMS = (4, 5)
 #: Rows that a classifier is fitted on, at most, and characters of theirs together: these bound the driver's memory, not
 #: what is scored.
 MOST_POSITIVE, MOST_UNLABELLED, MOST_CHARS = 3_000, 5_000, 50_000_000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 #: Letters of a word, at most; longer runs are read in pieces that share as many letters as the longest gram has.
 LONGEST = 64
