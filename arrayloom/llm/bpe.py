@@ -27,6 +27,8 @@ from arrayloom.llm.common import table
 LONG = 256
 #: Words whose tokens a task keeps; the memory is given back when so many are held.
 KEPT_WORDS = 100_000
+#: Characters of texts whose ids a task holds at once, about.
+PART_CHARS = 1_000_000
 
 
 def default_vocabulary() -> str:
@@ -158,6 +160,18 @@ OUTPUTS = {
 }
 
 
+def parts(batch: pd.DataFrame, text: str, most: int = PART_CHARS) -> Iterator[pd.DataFrame]:
+    """Runs of the rows of about so many characters, as ids take more room than texts while they are objects."""
+    start = total = 0
+    for i, t in enumerate(batch[text]):
+        total += len(t or "")
+        if total >= most:
+            yield batch.iloc[start : i + 1]
+            start, total = i + 1, 0
+    if start < len(batch) or not len(batch):
+        yield batch.iloc[start:]
+
+
 def code(docs: DataFrame, outputs: Iterable[str] = ("n_tokens", "ids", "decoded"), vocabulary: str | None = None, text: str = "text") -> DataFrame:
     """``docs`` without its text column and with the asked for OUTPUTS of each text, in one pass without a shuffle."""
     with open(vocabulary or default_vocabulary(), "rb") as f:
@@ -170,11 +184,12 @@ def code(docs: DataFrame, outputs: Iterable[str] = ("n_tokens", "ids", "decoded"
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = WordBpe(spec.value)
         for batch in batches:
-            out = batch.drop(columns=[text])
-            coded = [tuple(OUTPUTS[o][1](*pair) for o in outputs) for pair in map(bpe.code, batch[text])]
-            for i, o in enumerate(outputs):
-                out[o] = pd.Series([c[i] for c in coded], dtype=object if OUTPUTS[o][0] != "long" else "int64", index=out.index)
-            yield out
+            for part in parts(batch, text):
+                out = part.drop(columns=[text])
+                coded = [tuple(OUTPUTS[o][1](*pair) for o in outputs) for pair in map(bpe.code, part[text])]
+                for i, o in enumerate(outputs):
+                    out[o] = pd.Series([c[i] for c in coded], dtype=object if OUTPUTS[o][0] != "long" else "int64", index=out.index)
+                yield out
 
     return docs.mapInPandas(run, schema)
 
