@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from arrayloom.format.reader import File
 from arrayloom.format.values import decode, variant
 from arrayloom.functions.definitions import Attr
-from arrayloom.functions.settings import memory_limit
+from arrayloom.functions.settings import LIMIT, memory_limit, setting
 from arrayloom.model import ArrayFileError
 from arrayloom.plans.bind import dataset
 from arrayloom.sources.listing import ROW, Attributes, _struct, all_attributes, ls_rows
-from arrayloom.sources.scan import opened
+from arrayloom.sources.scan import fresh, opened
 
 
 def _file(path: str) -> File:
@@ -24,12 +24,12 @@ def retained_bytes(payload: int, elements: int, lists: int, text: bool) -> int:
     return payload + 96 * elements + 32 * lists if text else payload + 16 * elements + 32 * lists
 
 
-def read_value(limit: int | str | None = "64MB"):
+def read_value(limit: int | str | None = ""):
     """f(file, path) -> variant: a whole dataset as a nested array, a scalar as it is, a null space as null.
 
-    ``limit`` bounds the memory of one value: three times what it keeps.
+    ``limit`` bounds the memory of one value, three times what it keeps; if none is given, the session's setting does.
     """
-    most = memory_limit(limit)
+    most = memory_limit(setting(None, LIMIT, "64MB") if limit == "" else limit)
 
     @F.udf("variant")
     def value(file: str | None, path: str | None):
@@ -64,6 +64,19 @@ def ls_value(*attributes: Attr):
     return entries
 
 
+def ls_swmr_value(*attributes: Attr):
+    """As ``ls_value``, of files that another process may be writing: each is opened anew."""
+    attrs = Attributes(attributes)
+
+    @F.udf(f"map<string,struct<{','.join(_struct(ROW + attrs.schema))}>>")
+    def entries(file: str | None, group: str | None):
+        if file is None or group is None:
+            return None
+        return {r[0].rpartition("/")[2]: r for r in ls_rows(fresh(file), group, attrs)}
+
+    return entries
+
+
 def attributes_value():
     """f(file, path) -> map of names to variants; null where one can't be read."""
 

@@ -1,9 +1,16 @@
-"""Settings that are given as text."""
+"""Settings: of the session, or given as text.
+
+``spark.arrayloom.swmrDefault`` (false): what ``swmr`` is where a read does not say. ``spark.arrayloom.batchSize``
+(10MB): bytes of a batch of the full scan. ``spark.arrayloom.valueMemoryLimit`` (64MB, or none): memory of one
+value of ``read_value``. A call's own argument goes before the session's setting.
+"""
 
 from __future__ import annotations
 
 import re
 
+from pyspark.sql import SparkSession
+
 from arrayloom.model import ArrayFileError
 
 #: Powers of memory units, decimal and binary.
@@ -27,3 +34,23 @@ def memory_limit(text: int | str | None) -> int | None:
 def batch_size(text: int | str) -> int:
     """Bytes of a batch, a gigabyte at most."""
     return min(memory(text, "batch size"), 10**9)
+
+
+SWMR, BATCH, LIMIT = "spark.arrayloom.swmrDefault", "spark.arrayloom.batchSize", "spark.arrayloom.valueMemoryLimit"
+
+
+def setting(spark: SparkSession | None, name: str, default: str) -> str:
+    spark = spark or SparkSession.getActiveSession()
+    return spark.conf.get(name, default) if spark else default
+
+
+def swmr(spark: SparkSession | None, option: bool | None) -> bool:
+    """The option, or the session's default."""
+    if option is not None:
+        if not isinstance(option, bool):
+            raise ArrayFileError(f"swmr must be true or false: {option}")
+        return option
+    text = setting(spark, SWMR, "false").strip().lower()
+    if text not in ("true", "false"):
+        raise ArrayFileError(f"Invalid value for {SWMR}: {text}")
+    return text == "true"

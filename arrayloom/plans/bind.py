@@ -14,6 +14,8 @@ from arrayloom.sources.paths import expand
 #: Rows of a row range, at most; a range is read by one task and numbered by one array.
 RANGE_ROWS = 1 << 16
 MOST_RANK = 4
+#: Files that the driver opens by itself.
+BIND_HERE = 16
 
 
 @dataclass(frozen=True)
@@ -110,12 +112,45 @@ def bind_file(path: str, ordinal: int, definitions: tuple) -> BoundFile:
     return BoundFile(path, ordinal, min(rows, default=1), columns)
 
 
-def bind(files, definitions: tuple, filename: bool | str | None = False) -> Bound:
-    """Every file is opened and its columns must be those of the first."""
+def bind_far(spark, paths: list[str], definitions: tuple, first: BoundFile) -> list[BoundFile]:
+    """The other files, opened by tasks: only row counts, and what is wrong with a file, come back."""
+    same = [c.same for c in first.columns]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for one in batch.to_pylist():
+                rows, wrong = None, None
+                try:
+                    found = bind_file(one["path"], one["ordinal"], definitions)
+                    rows = found.rows
+                    if [c.same for c in found.columns] != same:
+                        wrong = f"read matched file '{one['path']}' with an incompatible schema"
+                except ArrayFileError as e:
+                    wrong = str(e)
+                yield pa.RecordBatch.from_pylist([{"ordinal": one["ordinal"], "rows": rows, "wrong": wrong}], pa.schema([("ordinal", pa.int32()), ("rows", pa.int64()), ("wrong", pa.string())]))
+
+    listed = spark.createDataFrame(list(enumerate(paths))[1:], "ordinal int, path string")
+    tasks = max(1, min(len(paths) - 1, 4 * spark.sparkContext.defaultParallelism))
+    found = sorted(listed.repartition(tasks).mapInArrow(run, "ordinal int, rows long, wrong string").collect())
+    for r in found:
+        if r.wrong is not None:
+            raise ArrayFileError(r.wrong)
+    return [BoundFile(paths[r.ordinal], r.ordinal, r.rows, first.columns) for r in found]
+
+
+def bind(files, definitions: tuple, filename: bool | str | None = False, spark=None) -> Bound:
+    """Every file is opened, the first here and many others by tasks of ``spark``; their columns must be those of the first."""
     bound = Bound(filename=filename_column(filename))
-    for i, path in enumerate(expand(files, "read")):
+    paths = expand(files, "read")
+    bound.files.append(bind_file(paths[0], 0, definitions))
+    if spark is not None and len(paths) > BIND_HERE:
+        bound.files += bind_far(spark, paths, definitions, bound.files[0])
+        paths = paths[:1]
+    for i, path in enumerate(paths[1:], 1):
         one = bind_file(path, i, definitions)
-        if bound.files and [c.same for c in one.columns] != [c.same for c in bound.columns]:
+        if [c.same for c in one.columns] != [c.same for c in bound.columns]:
             raise ArrayFileError(f"read matched file '{path}' with an incompatible schema")
         bound.files.append(one)
     if bound.filename and bound.filename.lower() in [c.name.lower() for c in bound.columns]:

@@ -11,15 +11,14 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from arrayloom.functions.definitions import alias, index, ree, rse
 from arrayloom.model import ArrayFileError
-from arrayloom.operators.runs import normal_runs, run_of
-from arrayloom.plans.bind import RANGE_ROWS, Bound, bind, checked_runs, dataset
+from arrayloom.functions.settings import BATCH, batch_size, setting
+from arrayloom.plans.bind import RANGE_ROWS, Bound, bind
 
 COLUMN = re.compile(r"\s*(?:(rse|ree)\(\s*([^,()]+?)\s*,\s*([^,()]+?)\s*\)|(index)\b(?!/)|([^,]+?))(?:\s+as\s+(\w+))?\s*(?:,|$)", re.I)
 
@@ -72,43 +71,17 @@ class ArraySource(DataSource):
 class ArrayReader(DataSourceReader):
     def __init__(self, bound: Bound, rows: int):
         self.bound, self.rows = bound, rows
+        self.batch_bytes = batch_size(setting(None, BATCH, "10MB"))
 
     def partitions(self) -> list[RowRange]:
         found = [RowRange(f.ordinal, a, min(a + self.rows, f.rows)) for f in self.bound.files for a in range(0, f.rows, self.rows)]
         return found or [RowRange(0, 0, 0)]
 
     def read(self, part: RowRange) -> Iterator[pa.RecordBatch]:
-        from arrayloom.format.values import decode
-        from arrayloom.sources.scan import BATCH_BYTES, arrow_array, arrow_type, opened, read_rows, row_bytes, scalar
-
-        bound, one = self.bound, self.bound.files[part.file]
-        file = opened(one.path)
-        runs, fixed = {}, {}
-        for c in one.columns:
-            if c.kind == "scalar":
-                fixed[c.name] = scalar(one.path, c)
-            elif c.kind == "runs":
-                b, values = checked_runs(file, c)
-                runs[c.name] = normal_runs(b, one.rows, c.ends), arrow_array(decode(file, values.raw_rows(0, len(b)), values.type, c.path), c.type)
-        wide = sum(row_bytes(file, c) for c in one.columns if c.kind == "data")
-        step = max(1, min(1 << 16, 10 * BATCH_BYTES // max(wide, 1)))
-        order = sorted((c for c in one.columns if c.kind == "data"), key=lambda c: dataset(file, c.path).place)
-        for at in range(part.start, part.end, step):
-            rows = np.arange(at, min(at + step, part.end))
-            data = {c.name: arrow_array(read_rows(one.path, c.path, rows), c.type) for c in order}
-            for c in one.columns:
-                if c.kind == "index":
-                    data[c.name] = pa.array(rows)
-                elif c.kind == "scalar":
-                    data[c.name] = pa.array([fixed[c.name]] * len(rows), arrow_type(c.type))
-                elif c.kind == "runs":
-                    (starts, end), values = runs[c.name]
-                    run = run_of(rows, starts, end)
-                    data[c.name] = values.take(pa.array(run, mask=run < 0))
-            if bound.filename:
-                data[bound.filename] = pa.array([one.path] * len(rows), pa.string())
-            names = [*[c.name for c in one.columns], *([bound.filename] if bound.filename else [])]
-            yield pa.RecordBatch.from_arrays([data[n] for n in names], names)
+        from arrayloom.sources.scan import read_range
+
+        one = self.bound.files[part.file]
+        return read_range(one.columns, self.bound.filename, one.path, one.rows, part.start, part.end, self.batch_bytes)
 
 
 def register_source(spark: SparkSession) -> None:

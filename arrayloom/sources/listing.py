@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from arrayloom.format.reader import File, Link, Object
 from arrayloom.format.values import attribute_type, attribute_value, element, variant
+from arrayloom.functions import settings
 from arrayloom.functions.definitions import Attr, unwrap
 from arrayloom.model import ArrayFileError
 from arrayloom.plans.bind import filename_column
@@ -200,22 +201,25 @@ def _struct(schema: str) -> list[str]:
     return out
 
 
-def tree(spark: SparkSession, files, *attributes, filename=False) -> DataFrame:
-    """Every path of every file: path, type, dtype, shape, and the asked for attributes."""
+def tree(spark: SparkSession, files, *attributes, filename=False, swmr: bool | None = None) -> DataFrame:
+    """Every path of every file: path, type, dtype, shape, and the asked for attributes. Files are opened anew, so ``swmr`` is accepted."""
+    settings.swmr(spark, swmr)
     attrs = Attributes(attributes)
     return listed(spark, files, "tree", lambda file: tree_rows(file, attrs), attrs, filename)
 
 
-def ls(spark: SparkSession, files, group: str | None = "/", *attributes, filename=False) -> DataFrame:
+def ls(spark: SparkSession, files, group: str | None = "/", *attributes, filename=False, swmr: bool | None = None) -> DataFrame:
     """The entries of one group of every file."""
+    settings.swmr(spark, swmr)
     if group is None:
         raise ArrayFileError("ls path must not be NULL")
     attrs = Attributes(attributes)
     return listed(spark, files, "ls", lambda file: ls_rows(file, group, attrs), attrs, filename)
 
 
-def attributes(spark: SparkSession, files, path: str | None, filename=False) -> DataFrame:
+def attributes(spark: SparkSession, files, path: str | None, filename=False, swmr: bool | None = None) -> DataFrame:
     """One row for each file with the attributes of an object, which must be the same in all, by name."""
+    settings.swmr(spark, swmr)
     if path is None:
         raise ArrayFileError("attributes path must not be NULL")
     path = path or "/"

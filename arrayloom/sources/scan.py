@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 from arrayloom.format.reader import File
 from arrayloom.format.values import decode
 from arrayloom.model import HType
-from arrayloom.operators.runs import normal_runs, segments
+from arrayloom.functions.settings import BATCH, batch_size, setting
+from arrayloom.operators.runs import normal_runs, run_of, segments
 from arrayloom.plans.bind import RANGE_ROWS, Bound, Column, checked_runs, dataset
 
 OPEN_FILES = 16
-BATCH_BYTES = 1_000_000
+#: Rows of a task, about, where the data are large.
+TASK_ROWS = 1 << 22
 _open: OrderedDict[str, File] = OrderedDict()
 
 
@@ -110,6 +112,24 @@ def plain(value, kind: str):
     return value.item() if isinstance(value, np.generic) else value
 
 
+def known_runs(file: File, column: Column, rows: int) -> tuple[np.ndarray, int, pa.Array]:
+    """(starts, end, values) of a run-encoded column, kept for as long as the file is open."""
+    kept = file.__dict__.setdefault("known_runs", {})
+    key = column.path, column.boundaries, column.ends, rows
+    if key not in kept:
+        b, values = checked_runs(file, column)
+        kept[key] = *normal_runs(b, rows, column.ends), arrow_array(decode(file, values.raw_rows(0, len(b)), values.type, column.path), column.type)
+    return kept[key]
+
+
+def plain_ranges(spark: SparkSession, bound: Bound, rows_of: int) -> DataFrame:
+    """(__file, __path, __rows, __start, __end) of all files: they follow from the row counts, in the JVM."""
+    listed = spark.createDataFrame([(f.ordinal, f.path, f.rows) for f in bound.files], "__file int, __path string, __rows long")
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__rows") - 1, F.lit(rows_of).cast("long")))
+    found = listed.filter("__rows > 0").select("*", start.alias("__start"))
+    return found.withColumn("__end", F.least("__rows", F.col("__start") + rows_of))
+
+
 def ranges(spark: SparkSession, bound: Bound, names: set[str], rows_of: int = RANGE_ROWS) -> DataFrame:
     """(__file, __path, __start, __end, the values of run-encoded and scalar columns) of all files."""
     constants = [c for c in bound.columns if c.kind in ("runs", "scalar") and c.name in names]
@@ -142,44 +162,57 @@ def ranges(spark: SparkSession, bound: Bound, names: set[str], rows_of: int = RA
                             out.append(runs[c.name][1].take(pa.array(run, mask=run < 0)))
                     yield pa.RecordBatch.from_arrays(out, ["__file", "__path", "__start", "__end", *[c.name for c in constants]])
 
-    listed = spark.createDataFrame([(o, p, r) for o, p, r, _ in files], "ordinal int, path string, rows long")
     if not constants:
-        # Nothing to be read: the ranges follow from the row counts, in the JVM.
-        start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(rows_of).cast("long")))
-        plain_ranges = listed.filter("rows > 0").select(F.col("ordinal").alias("__file"), F.col("path").alias("__path"), start.alias("__start"), "rows")
-        return plain_ranges.select("__file", "__path", "__start", F.least("rows", F.col("__start") + rows_of).alias("__end"))
+        return plain_ranges(spark, bound, rows_of).drop("__rows")
+    listed = spark.createDataFrame([(o, p, r) for o, p, r, _ in files], "ordinal int, path string, rows long")
     return listed.repartition(min(len(files), 1_000)).mapInArrow(cut, schema)
 
 
-def scan(spark: SparkSession, bound: Bound, mode: str = "auto", rows_of: int = RANGE_ROWS) -> DataFrame:
-    """All columns in the order of their definitions, then the file name if asked for."""
+def sizes(bound: Bound, cores: int, rows_of: int | None) -> tuple[int, int]:
+    """(rows of a range, tasks): a range for each core at least, and tasks by rows where there are many."""
+    total = sum(f.rows for f in bound.files)
+    rows_of = rows_of or max(1 << 12, min(RANGE_ROWS, total // (2 * cores) + 1))
+    return rows_of, max(1, min(sum(-(-f.rows // rows_of) for f in bound.files), max(2 * cores, -(-total // TASK_ROWS))))
+
+
+def scan(spark: SparkSession, bound: Bound, mode: str = "auto", rows_of: int | None = None, rows_read=None) -> DataFrame:
+    """All columns in the order of their definitions, then the file name if asked for.
+
+    ``rows_read`` is an accumulator that is told how many values of datasets are read.
+    """
     columns = bound.columns
     if mode == "auto":
         mode = "late" if any(c.kind in ("index", "runs") for c in columns) or len(columns) > 4 else "full"
-    tasks = max(spark.sparkContext.defaultParallelism, 1)
-    split = ranges(spark, bound, {c.name for c in columns}, rows_of)
+    given = rows_of
+    rows_of, tasks = sizes(bound, max(spark.sparkContext.defaultParallelism, 1), rows_of)
     name = [F.col("__path").alias(bound.filename)] if bound.filename else []
     if mode == "full":
-        return full_scan(split.repartition(max(tasks, len(bound.files) and tasks * 2)), bound)
-    rows = split.repartition(tasks * 2).withColumn("__row", F.explode(F.sequence("__start", F.col("__end") - 1)))
+        most = batch_size(setting(spark, BATCH, "10MB"))
+        return full_scan(plain_ranges(spark, bound, rows_of).repartition(tasks), bound, most, rows_read)
+    split = ranges(spark, bound, {c.name for c in columns}, rows_of)
+    if any(c.kind == "runs" for c in columns) and given is None:
+        tasks = max(tasks, 2 * spark.sparkContext.defaultParallelism)  # runs cut the ranges further
+    rows = split.repartition(tasks).withColumn("__row", F.explode(F.sequence("__start", F.col("__end") - 1)))
     out = []
     for c in columns:
         if c.kind == "index":
             out.append(F.col("__row").alias(c.name))
         elif c.kind == "data":
-            out.append(reader(c)("__path", "__row").alias(c.name))
+            out.append(reader(c, rows_read)("__path", "__row").alias(c.name))
         else:
             out.append(F.col(f"`{c.name}`"))
     return rows.select(*out, *name)
 
 
-def reader(column: Column):
+def reader(column: Column, rows_read=None):
     kind, path = column.type, column.path
 
     @F.arrow_udf(kind)
     def read(files: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for names, rows in files:
             names, rows = names.dictionary_encode(), rows.to_numpy(zero_copy_only=False)
+            if rows_read is not None:
+                rows_read.add(len(rows))
             at = names.indices.to_numpy(zero_copy_only=False)
             found = [(np.flatnonzero(at == i), p.as_py()) for i, p in enumerate(names.dictionary)]
             parts = [arrow_array(read_rows(p, path, rows[where]), kind) for where, p in found]
@@ -198,32 +231,40 @@ def row_bytes(file: File, column: Column) -> int:
     return 0 if kind.is_string else kind.size * int(np.prod(column.inner, dtype=np.int64))
 
 
-def full_scan(split: DataFrame, bound: Bound) -> DataFrame:
+def read_range(columns: list[Column], filename: str | None, path: str, total: int, start: int, end: int, batch_bytes: int, rows_read=None) -> Iterator[pa.RecordBatch]:
+    """Batches of all columns for the rows from start to end of a file of ``total`` rows."""
+    file = opened(path)
+    fixed = {c.name: scalar(path, c) for c in columns if c.kind == "scalar"}
+    wide = sum(row_bytes(file, c) for c in columns if c.kind == "data")
+    step = max(1, min(RANGE_ROWS, batch_bytes // max(wide, 1)))
+    by_place = sorted((c for c in columns if c.kind == "data"), key=lambda c: dataset(file, c.path).place)
+    names = [*[c.name for c in columns], *([filename] if filename else [])]
+    for at in range(start, end, step):
+        rows = np.arange(at, min(at + step, end))
+        data = {c.name: arrow_array(read_rows(path, c.path, rows), c.type) for c in by_place}
+        if rows_read is not None:
+            rows_read.add(len(rows) * len(by_place))
+        for c in columns:
+            if c.kind == "index":
+                data[c.name] = pa.array(rows)
+            elif c.kind == "scalar":
+                data[c.name] = pa.array([fixed[c.name]] * len(rows), arrow_type(c.type))
+            elif c.kind == "runs":
+                starts, behind, values = known_runs(file, c, total)
+                run = run_of(rows, starts, behind)
+                data[c.name] = values.take(pa.array(run, mask=run < 0))
+        if filename:
+            data[filename] = pa.array([path] * len(rows), pa.string())
+        yield pa.RecordBatch.from_arrays([data[n] for n in names], names)
+
+
+def full_scan(split: DataFrame, bound: Bound, batch_bytes: int, rows_read=None) -> DataFrame:
     columns, filename = bound.columns, bound.filename
     schema = ", ".join([*[f"`{c.name}` {c.type}" for c in columns], *([f"`{filename}` string"] if filename else [])])
-    constants = {c.name for c in columns if c.kind in ("scalar", "runs")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                part = batch.slice(i, 1)
-                one = {n: part.column(n)[0].as_py() for n in ("__path", "__start", "__end")}
-                file = opened(one["__path"])
-                wide = sum(row_bytes(file, c) for c in columns if c.kind == "data")
-                step = max(1, min(one["__end"] - one["__start"], 10 * BATCH_BYTES // max(wide, 1)))
-                by_place = sorted((c for c in columns if c.kind == "data"), key=lambda c: dataset(file, c.path).place)
-                for at in range(one["__start"], one["__end"], step):
-                    rows = np.arange(at, min(at + step, one["__end"]))
-                    data = {c.name: arrow_array(read_rows(one["__path"], c.path, rows), c.type) for c in by_place}
-                    for c in columns:
-                        if c.kind == "index":
-                            data[c.name] = pa.array(rows)
-                        elif c.name in constants:
-                            data[c.name] = part.column(c.name).take(pa.array(np.zeros(len(rows), np.int64)))
-                    names = [c.name for c in columns]
-                    arrays = [data[n] for n in names]
-                    if filename:
-                        names, arrays = [*names, filename], [*arrays, pa.array([one["__path"]] * len(rows), pa.string())]
-                    yield pa.RecordBatch.from_arrays(arrays, names)
+            for one in batch.to_pylist():
+                yield from read_range(columns, filename, one["__path"], one["__rows"], one["__start"], one["__end"], batch_bytes, rows_read)
 
     return split.mapInArrow(run, schema)
