@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from arrayloom import api
-from arrayloom.format.writer import Writer
+from arrayloom.format.writer import Null, Writer, fixed_string, number
+from arrayloom.operators.runs import expand_runs
 from arrayloom.sources.sink import write_files
 
 QUERIES: dict = {}
@@ -39,6 +41,8 @@ def scratch(spark: SparkSession) -> str:
         raise ValueError("array files need a shared folder with plain file access")
     if shared:
         return os.path.join(shared.removeprefix("file://").removeprefix("file:"), f"array-files-{uuid.uuid4().hex}")
+    if not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="array-files-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
@@ -325,3 +329,260 @@ def scalar_functions(spark, sf_dir):
         F.upper("n_name").alias("upper_name"), F.length("n_name").cast("long").alias("n"), F.substring("n_name", 1, 3).alias("head"), F.replace("n_name", F.lit("A"), F.lit("_")).alias("replaced"),
         F.contains("n_name", F.lit("IN")).alias("has_in"), F.locate("A", "n_name").cast("long").alias("at"), F.coalesce(F.expr("nullif(n_regionkey, 1)"), F.lit(-1)).alias("region"), F.greatest("n_nationkey", F.lit(10)).alias("larger"),
     )
+
+
+@once
+def edge_files(spark, sf_dir):
+    """Two files of fixed small datasets that differ in string encoding and in what is scalar."""
+    folder = scratch(spark)
+    os.makedirs(folder, exist_ok=True)
+    made = []
+    for i, latest in enumerate((False, True)):
+        w = Writer(os.path.join(folder, f"edge_{i}.h5"), latest=latest)
+        x = np.arange(6, dtype=np.int32) + 10 * i
+        w.dataset("/x", x)
+        w.dataset("/big", np.array([2**64 - 1, 2**63, 1, 2, 3, 4], np.uint64))
+        w.dataset("/name", np.array(["a", "b", "", "d", "e", "f"], object) if i else np.array([b"a", b"b", b"", b"d", b"e", b"f"], "S3"), **({} if i else {"type": fixed_string(3)}))
+        w.dataset("/nothing", Null(number("<i4")))
+        w.dataset("/none", np.empty(0, np.int64))
+        w.dataset("/flat", np.empty((6, 0), np.float32))
+        w.dataset("/run", np.float64(1.5 + i))
+        w.dataset("/starts", np.array([2, 4, 4, 9], np.uint64))
+        w.dataset("/ends", np.array([1, 3, 3], np.uint64))
+        w.dataset("/starts_values", np.array([10, 20, 30, 40], np.int16))
+        w.dataset("/ends_values", np.array(["p", "q", "r"], object))
+        w.dataset("/text_numbers", np.array(["1", "2", "x", "4", "5", "6"], object))
+        w.dataset("/chunked", np.arange(60, dtype=np.int64).reshape(6, 10) + 100 * i, chunk=(2, 3), deflate=3, shuffle=True, fletcher=True)
+        w.root.attributes |= {"run": np.int64(i), "site": "here"}
+        w.close()
+        made.append(w.path)
+    return made
+
+
+X = "(VALUES (0), (1), (2), (3), (4), (5)) t(i)"
+
+
+@query(f"SELECT i::BIGINT AS index, i::INTEGER AS x, CASE WHEN i < 2 THEN NULL WHEN i < 4 THEN 10 ELSE 30 END::SMALLINT AS by_start, CASE WHEN i < 2 THEN 'p' WHEN i < 4 THEN 'q' END AS by_end FROM {X}")
+def run_edges(spark, sf_dir):
+    """Rows before the first start and after the last end are null; empty runs vanish; what reaches beyond the rows is cut."""
+    file = edge_files(spark, sf_dir)[0]
+    return api.read(spark, file, api.index(), "/x", api.alias("by_start", api.rse("/starts", "/starts_values")), api.alias("by_end", api.ree("/ends", "/ends_values")))
+
+
+@query(f"SELECT i::INTEGER AS x, CASE WHEN i < 2 THEN NULL WHEN i < 4 THEN 10 ELSE 30 END::SMALLINT AS by_start FROM {X}")
+def run_edges_in_batches(spark, sf_dir):
+    """The same by the batch form."""
+    file = edge_files(spark, sf_dir)[0]
+    return api.read(spark, file, "/x", api.alias("by_start", api.rse("/starts", "/starts_values")), mode="full")
+
+
+@query("SELECT count(*) AS n, (SELECT count(DISTINCT event_type) FROM events) AS types, min(event_id)::BIGINT AS low FROM events")
+def run_relation(spark, sf_dir):
+    """Runs as a table of (start, value), expanded by a range join's equal: one sequence for each run."""
+    (file,) = event_files(spark, sf_dir)
+    runs = api.read(spark, file, api.alias("start", "/event_type_starts"), api.alias("end", "/event_type_ends"), api.alias("type", "/event_type_values"))
+    rows = expand_runs(runs.withColumn("end", F.col("end") + 1), "start", None, "end")
+    found = rows.join(api.read(spark, file, api.index(), "/event_id"), "index")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("type").alias("types"), F.min("event_id").cast("long").alias("low"))
+
+
+@query(f"SELECT i::INTEGER AS x, NULL::INTEGER AS nothing, 1.5::DOUBLE AS run FROM {X} UNION ALL SELECT i + 10, NULL, 2.5 FROM {X}")
+def null_spaces(spark, sf_dir):
+    """A dataset without a space is null in each row; scalars are those of their file."""
+    return api.read(spark, edge_files(spark, sf_dir), "/x", "/nothing", "/run")
+
+
+@query("SELECT 0::BIGINT AS rows")
+def empty_dataset(spark, sf_dir):
+    """An empty dataset ends the rows before the first."""
+    return api.read(spark, edge_files(spark, sf_dir), "/x", "/none").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(f"SELECT i::INTEGER AS x, 0 AS inner_size FROM {X}")
+def zero_sized_inner(spark, sf_dir):
+    rows = api.read(spark, edge_files(spark, sf_dir)[0], "/x", "/flat")
+    return rows.select("x", F.size("flat").alias("inner_size"))
+
+
+@query("SELECT name, count(*) AS n FROM (VALUES ('a'), ('b'), (''), ('d'), ('e'), ('f')) t(name), (VALUES (0), (1)) f(i) GROUP BY name")
+def string_encodings(spark, sf_dir):
+    """Fixed and variable strings of two files are one column."""
+    return api.read(spark, edge_files(spark, sf_dir), "/name").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT (18446744073709551615::HUGEINT + 9223372036854775808::HUGEINT + 10)::DECIMAL(30, 0)::VARCHAR AS total, '18446744073709551615' AS most")
+def unsigned_sum(spark, sf_dir):
+    """Unsigned numbers of 64 bits add up beyond 64 bits."""
+    rows = api.read(spark, edge_files(spark, sf_dir)[0], "/big")
+    return rows.agg(F.sum("big").cast("decimal(30,0)").cast("string").alias("total"), F.max("big").cast("string").alias("most"))
+
+
+@query("SELECT x, first_ FROM (VALUES (2, 20), (3, 30), (12, 120), (13, 130)) t(x, first_)")
+def cast_filters(spark, sf_dir):
+    """Filters through casts, of datasets and of the index."""
+    rows = api.read(spark, edge_files(spark, sf_dir), api.index(), "/x", "/chunked", "/text_numbers")
+    rows = rows.filter("cast(index as string) in ('2', '3') and cast(x as double) >= 1.5 and coalesce(try_cast(text_numbers as int), 4) > 3")
+    return rows.select("x", F.get("chunked", F.lit(0)).cast("int").alias("first_"))
+
+
+@query(f"SELECT CASE WHEN i < 2 THEN 'unknown' WHEN i < 4 THEN 'low' ELSE 'high' END AS class, count(*) AS n FROM {X} GROUP BY ALL")
+def unknown_run_values(spark, sf_dir):
+    """Comparisons with null runs are unknown: such rows pass neither a filter nor its opposite."""
+    rows = api.read(spark, edge_files(spark, sf_dir)[0], "/x", api.alias("v", api.rse("/starts", "/starts_values")))
+    low, high, rest = rows.filter("v < 20"), rows.filter("not (v < 20)"), rows.filter("(v < 20) is null")
+    named = [d.select(F.lit(name).alias("class")) for d, name in ((low, "low"), (high, "high"), (rest, "unknown"))]
+    return named[0].unionAll(named[1]).unionAll(named[2]).groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderkey, index FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS index FROM orders) WHERE index < 3 OR o_orderkey % 997 = 0")
+def residual_filter(spark, sf_dir):
+    """A filter of which only one side concerns the index."""
+    return api.read(spark, orders_files(spark, sf_dir), api.index(), "/orders/o_orderkey").filter("index < 3 or o_orderkey % 997 = 0").select("o_orderkey", "index")
+
+
+@query("SELECT 25::BIGINT AS rows, true AS in_table")
+def limit_rows(spark, sf_dir):
+    """A limit without an order: so many rows, whichever they are; a scan stops at them."""
+    few = api.read(spark, orders_files(spark, sf_dir), "/orders/o_orderkey").limit(25)
+    known = api.read(spark, orders_files(spark, sf_dir), "/orders/o_orderkey").distinct()
+    joined = few.join(known.withColumn("known", F.lit(True)), "o_orderkey", "left")
+    return joined.agg(F.count(F.lit(1)).alias("rows"), F.bool_and(F.coalesce("known", F.lit(False))).alias("in_table"))
+
+
+@query("SELECT l_orderkey, count(*) AS n, round(sum(l_extendedprice - mean), 2) + 0 AS over FROM lineitem, (SELECT avg(l_extendedprice) AS mean FROM lineitem) WHERE l_extendedprice > 1.9 * mean GROUP BY l_orderkey")
+def join_to_aggregate(spark, sf_dir):
+    """Rows against an aggregate of all rows: one row, so it is sent to every task."""
+    rows = api.read(spark, lineitem_chunked(spark, sf_dir), "/l_orderkey", "/l_extendedprice")
+    mean = rows.agg(F.avg("l_extendedprice").alias("mean"))
+    over = rows.crossJoin(F.broadcast(mean)).filter("l_extendedprice > 1.9 * mean")
+    return over.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), (F.round(F.sum(F.col("l_extendedprice") - F.col("mean")), 2) + 0).alias("over"))
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def join_using(spark, sf_dir):
+    nations = api.read(spark, small_files(spark, sf_dir), "/nation/n_name", api.alias("k", "/nation/n_regionkey"))
+    regions = api.read(spark, small_files(spark, sf_dir), api.alias("k", "/region/r_regionkey"), "/region/r_name")
+    return nations.join(regions, "k").select("n_name", "r_name")
+
+
+@query("SELECT run::BIGINT AS run, count(*) AS n, sum(i + 10 * run)::BIGINT AS total FROM (VALUES (0), (1)) f(run), " + X + " GROUP BY run")
+def metadata_join(spark, sf_dir):
+    """Rows of each file with an attribute of that file, by the file name."""
+    files = edge_files(spark, sf_dir)
+    rows = api.read(spark, files, "/x", filename=True)
+    runs = api.attributes(spark, files, "/", filename=True).select("filename", "run")
+    return rows.join(runs, "filename").groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"))
+
+
+@query(f"SELECT i + 10 * f.run AS x, 10 * i AS geometry FROM (VALUES (0), (1)) f(run), {X}")
+def geometry_join(spark, sf_dir):
+    """Rows of all files with a table that is read from the first file only."""
+    files = edge_files(spark, sf_dir)
+    pattern = os.path.join(os.path.dirname(files[0]), "edge_*.h5")
+    geometry = api.read(spark, api.first_file(pattern), api.alias("place", api.index()), "/chunked").select("place", F.get("chunked", F.lit(0)).cast("int").alias("geometry"))
+    rows = api.read(spark, pattern, api.alias("place", api.index()), "/x")
+    return rows.join(geometry, "place").select("x", "geometry")
+
+
+@query(f"SELECT count(*) * 3 AS rows, (sum(i) * 3 + 60)::BIGINT AS total FROM {X}")
+def listed_files(spark, sf_dir):
+    """Names and patterns in a list, left to right, repeats kept."""
+    files = edge_files(spark, sf_dir)
+    rows = api.read(spark, [os.path.join(os.path.dirname(files[0]), "edge_?.h5"), files[0]], "/x")
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.sum("x").alias("total"))
+
+
+@query("SELECT 1::BIGINT AS files, count(*) AS paths FROM (VALUES (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12), (13), (14)) t(i)")
+def pruned_listing(spark, sf_dir):
+    """A filter on the file name keeps the other files from being opened."""
+    files = edge_files(spark, sf_dir)
+    rows = api.tree(spark, files, filename=True).filter(F.col("filename") == files[1])
+    return rows.agg(F.count_distinct("filename").alias("files"), F.count(F.lit(1)).alias("paths"))
+
+
+@query("SELECT f.run::BIGINT AS run, 'here' AS site FROM (VALUES (0), (1)) f(run)")
+def attributes_of_files(spark, sf_dir):
+    """One row a file, with the attributes in the order of the object."""
+    return api.attributes(spark, edge_files(spark, sf_dir), "/")
+
+
+@query("SELECT 'r_regionkey' AS name, 'key' AS unit, (SELECT count(*) FROM region) AS rows, 2 AS n UNION ALL SELECT 'r_name', NULL, NULL, 0")
+def mapped_attributes(spark, sf_dir):
+    """All attributes of an entry as a map of variants."""
+    rows = api.ls(spark, small_files(spark, sf_dir), "/region", api.alias("all", api.attr()))
+    value = lambda key, kind: F.expr(f"try_variant_get(`all`['{key}'], '$', '{kind}')")
+    return rows.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), value("unit", "string").alias("unit"), value("rows", "bigint").alias("rows"), F.size("all").alias("n"))
+
+
+@query("SELECT 'key' AS unit, (SELECT count(*) FROM region) AS rows, true AS none_for_null")
+def row_attributes(spark, sf_dir):
+    """The attributes of an object in each row's file; null for a row without a path."""
+    (file,) = small_files(spark, sf_dir)
+    rows = spark.createDataFrame([(file, "/region/r_regionkey"), (file, None)], "file string, path string").withColumn("a", api.attributes_value()("file", "path"))
+    unit, n = F.expr("try_variant_get(a['unit'], '$', 'string')"), F.expr("try_variant_get(a['rows'], '$', 'bigint')")
+    return rows.agg(F.max(unit).alias("unit"), F.max(n).alias("rows"), F.bool_and(F.col("path").isNotNull() | F.col("a").isNull()).alias("none_for_null"))
+
+
+@query("SELECT 'n_name' AS name, 'string' AS dtype UNION ALL SELECT 'n_nationkey', 'int32' UNION ALL SELECT 'n_regionkey', 'int32'")
+def row_listing_anew(spark, sf_dir):
+    """The listing of each row's group, from files opened anew."""
+    (file,) = small_files(spark, sf_dir)
+    rows = spark.createDataFrame([(file, "/nation")], "file string, path string").select(F.explode(api.ls_swmr_value()("file", "path")).alias("name", "entry"))
+    return rows.select("name", "entry.dtype")
+
+
+@query("SELECT (SELECT list(r_name ORDER BY r_regionkey) FROM region) AS names, 3::BIGINT AS entries, 2.5::DOUBLE AS scale")
+def registered_functions(spark, sf_dir):
+    """The row functions by their SQL names."""
+    api.register(spark)
+    (file,) = small_files(spark, sf_dir)
+    return spark.sql(
+        "SELECT try_variant_get(read_value(f, '/region/r_name'), '$', 'array<string>') AS names, cast(cardinality(ls_value(f, '/nation')) AS bigint) AS entries, try_variant_get(read_value(f, '/scale'), '$', 'double') AS scale FROM (SELECT :file AS f)",
+        args={"file": file},
+    )
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS at FROM orders")
+def data_source(spark, sf_dir):
+    """The table as a data source with options."""
+    api.register(spark)
+    return spark.read.format("arrayloom").option("columns", "index as at, /orders/o_orderkey").load(orders_files(spark, sf_dir)[0]).select("o_orderkey", "at")
+
+
+@query("SELECT event_id, event_type FROM events")
+def streamed_rows(spark, sf_dir):
+    """A file tailed as a stream: all its rows arrive once."""
+    api.register(spark)
+    (file,) = event_files(spark, sf_dir)
+    columns = "/event_id, rse(/event_type_starts, /event_type_values) as event_type"
+    stream = spark.readStream.format("arrayloom").option("columns", columns).load(file)
+    folder = scratch(spark)
+    query = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").start(f"{folder}/rows")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem")
+def small_batches(spark, sf_dir):
+    """Batches of the size that the session sets."""
+    before = spark.conf.get("spark.arrayloom.batchSize", None)
+    spark.conf.set("spark.arrayloom.batchSize", "64KB")
+    try:
+        return api.read(spark, lineitem_chunked(spark, sf_dir), "/l_orderkey", "/l_linenumber", mode="full", swmr=True)
+    finally:
+        spark.conf.unset("spark.arrayloom.batchSize") if before is None else spark.conf.set("spark.arrayloom.batchSize", before)
+
+
+@query("SELECT true AS engine, true AS spark")
+def versions(spark, sf_dir):
+    return spark.range(1).select(api.version().alias("v")).select((F.length("v.engine") > 0).alias("engine"), (F.length("v.spark") > 0).alias("spark"))
+
+
+@query(f"SELECT f.run AS file, i AS row, (i * 10 + 7 + 100 * f.run)::BIGINT AS eighth, 10 AS n FROM (VALUES (0), (1)) f(run), {X}")
+def filtered_chunks(spark, sf_dir):
+    """Chunks that cut both dimensions, through shuffle, deflate and checksum, of either format version."""
+    rows = api.read(spark, edge_files(spark, sf_dir), api.index(), "/chunked", "/run")
+    return rows.select((F.col("run") - 1.5).cast("int").alias("file"), F.col("index").cast("int").alias("row"), F.get("chunked", F.lit(7)).alias("eighth"), F.size("chunked").alias("n"))

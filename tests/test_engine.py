@@ -287,3 +287,63 @@ def test_the_data_source(spark, file):
     assert df.dtypes == want.dtypes and repr(collect(df, "i")) == repr(collect(want, "i"))
     assert df.filter("x < 3").count() == 3 and df.count() == 7
     assert parse_columns("/index/a, ree(/a,/b)") == ["/index/a", api.ree("/a", "/b")]
+
+
+def test_settings_of_the_session(spark, file):
+    path = file(x=np.arange(40_000, dtype="i8"))
+    before = sorted(api.read(spark, path, "/x", mode="full").collect())
+    try:
+        spark.conf.set("spark.arrayloom.batchSize", "8KB")
+        assert sorted(api.read(spark, path, "/x", mode="full", range_rows=40_000).collect()) == before
+        spark.conf.set("spark.arrayloom.batchSize", "much")
+        with pytest.raises(ArrayFileError, match="Invalid value"):
+            api.read(spark, path, "/x", mode="full")
+        spark.conf.set("spark.arrayloom.valueMemoryLimit", "1KB")
+        rows = spark.createDataFrame([(path, "/x")], "f string, p string")
+        with pytest.raises(Exception, match="memory limit exceeded"):
+            rows.select(api.read_value()("f", "p")).collect()
+        assert rows.select(api.read_value("none")("f", "p")).count() == 1
+        spark.conf.set("spark.arrayloom.swmrDefault", "perhaps")
+        for call in (lambda **o: api.read(spark, path, "/x", **o), lambda **o: api.tree(spark, path, **o), lambda **o: api.ls(spark, path, **o)):
+            with pytest.raises(ArrayFileError, match="swmrDefault"):
+                call()
+            assert call(swmr=True).count() >= 1
+        spark.conf.set("spark.arrayloom.swmrDefault", "TRUE")
+        assert api.ls(spark, path).count() == 1
+    finally:
+        for name in ("batchSize", "valueMemoryLimit", "swmrDefault"):
+            spark.conf.unset(f"spark.arrayloom.{name}")
+
+
+@pytest.mark.parametrize("mode", ["late", "full"])
+def test_rows_read(spark, file, mode):
+    path = file(x=np.arange(1_000), y=np.arange(1_000) * 2, rs=np.array([0, 600]), v=np.array([1, 2]))
+    count = lambda f, *d: (n := spark.sparkContext.accumulator(0), f(api.read(spark, path, *d, mode=mode, rows_read=n)).collect(), n.value)[2]
+    assert count(lambda d: d, "/x", "/y", api.index()) == 2_000
+    if mode == "late":  # nothing is read of rows that a filter on the index or on runs drops, nor of unused columns
+        assert count(lambda d: d.filter("index between 10 and 19"), "/x", "/y", api.index()) == 20
+        assert count(lambda d: d.filter("v = 2").select("x"), "/x", "/y", api.rse("/rs", "/v")) == 400
+        assert count(lambda d: d.groupBy().count(), "/x", "/y", api.index()) == 0
+
+
+def test_many_files_are_bound_by_tasks(spark, file, monkeypatch):
+    from arrayloom.plans import bind
+
+    monkeypatch.setattr(bind, "BIND_HERE", 2)
+    paths = [file(f"m{i}.h5", x=np.arange(i + 1)) for i in range(5)]
+    assert collect(api.read(spark, paths, "/x", filename=True).groupBy("filename").count(), "filename") == [(p, i + 1) for i, p in enumerate(paths)]
+    assert api.read(spark, [paths[0]] * 4, "/x").count() == 4
+    with pytest.raises(ArrayFileError, match="incompatible schema"):
+        api.read(spark, [*paths, file("other.h5", x=np.zeros(2))], "/x")
+    with pytest.raises(ArrayFileError, match="Failed to open dataset"):
+        api.read(spark, [*paths, file("none.h5", y=np.zeros(2))], "/x")
+
+
+def test_short_runs_are_read_in_wide_batches(spark, file):
+    n = 50_000
+    path = file(x=np.arange(n), re=np.arange(0, n, 2), w=np.arange(0, n, 2), rs=np.arange(1, n, 3), v=np.arange(1, n, 3))
+    df = api.read(spark, path, "/x", api.ree("/re", "/w"), api.rse("/rs", "/v"), mode="full")
+    got = df.toPandas()
+    x = got["x"].to_numpy()
+    assert (got["w"].dropna().to_numpy() == ((x + 1) // 2 * 2)[: len(got["w"].dropna())]).all()
+    assert (got["v"][1:].to_numpy() == (x[1:] - 1) // 3 * 3 + 1).all() and got["v"].isna()[0]
