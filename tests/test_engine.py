@@ -298,6 +298,7 @@ def test_settings_of_the_session(spark, file):
         spark.conf.set("spark.arrayloom.batchSize", "much")
         with pytest.raises(ArrayFileError, match="Invalid value"):
             api.read(spark, path, "/x", mode="full")
+        spark.conf.unset("spark.arrayloom.batchSize")
         spark.conf.set("spark.arrayloom.valueMemoryLimit", "1KB")
         rows = spark.createDataFrame([(path, "/x")], "f string, p string")
         with pytest.raises(Exception, match="memory limit exceeded"):
