@@ -22,6 +22,7 @@ QUERIES = {
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
     "op5_repeated_phrases": substrings.ORACLE,
+    "op6_common_prefix_intervals": suffixes.ORACLE,
     "op7_minhash_multi_index": neardup.ORACLE,
     "op10_vector_approximation_search": vectors.ORACLE,
 }

@@ -357,3 +357,17 @@ def op6_common_prefix_intervals(spark, sf_dir):
     out = base.join(cut, "doc_id", "left")
     none = F.lit(0).cast("long")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 800)) AS h FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 399)) AS p FROM d WHERE length(x) >= 800)),
+r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+g AS (SELECT doc_id, p, sum(CASE WHEN p - before > 400 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) AS span
+  FROM (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM r)),
+s AS (SELECT doc_id, span, min(p) AS a, max(p) + 400 AS b FROM g GROUP BY doc_id, span),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS last, row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS final FROM s),
+c AS (SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+  string_agg(substr(x, 2 * last + 1, 2 * (a - last)) || CASE WHEN final THEN substr(x, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM d LEFT JOIN c USING (doc_id)
+"""
