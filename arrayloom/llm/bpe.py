@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from arrayloom.llm.common import table
 
 LONG = 256
-#: Words whose tokens a task keeps; the memory is given back when so many are held.
-KEPT_WORDS = 100_000
+#: Words of a generation of those whose tokens a task keeps.
+KEPT_WORDS = 120_000
 #: Characters of texts whose ids a task holds at once, about.
 PART_CHARS = 1_000_000
 
@@ -45,16 +45,18 @@ def byte_letters() -> dict[int, str]:
 
 
 class Kept(dict):
-    """Tokens of words, made on first use and dropped all together when there are too many."""
+    """Tokens of words, made on first use, in two generations: what is not asked for while a whole one fills up is dropped."""
 
     def __init__(self, make, most: int = KEPT_WORDS):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, word):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        self[word] = out = self.make(word)
+        out = self.old.get(word)
+        self[word] = out = self.make(word) if out is None else out
         return out
 
 

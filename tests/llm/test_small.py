@@ -955,3 +955,11 @@ def test_the_next_of_rows_without_id(frame, monkeypatch):
     got = fingerprints.with_next(docs, ["text"]).withColumn("th", F.xxhash64("text")).collect()
     order = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.th), reverse=True)
     assert [r.next_text for r in order] == [r.text for r in [*order[1:], order[0]]]
+
+
+def test_words_in_use_are_kept():
+    made = []
+    kept = bpe.Kept(lambda w: made.append(w) or w.upper(), 3)
+    for w in "abcadaeafag":
+        assert kept[w] == w.upper()
+    assert made.count("a") == 1 and len(kept) <= 3 and len(kept.old) <= 3
