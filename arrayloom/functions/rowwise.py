@@ -11,6 +11,7 @@ from arrayloom.functions.definitions import Attr
 from arrayloom.functions.settings import LIMIT, memory_limit, setting
 from arrayloom.model import ArrayFileError
 from arrayloom.plans.bind import dataset
+from arrayloom.sources.bytesource import with_access
 from arrayloom.sources.listing import ROW, Attributes, _struct, all_attributes, ls_rows
 from arrayloom.sources.scan import fresh, opened
 
@@ -32,6 +33,7 @@ def read_value(limit: int | str | None = ""):
     most = memory_limit(setting(None, LIMIT, "64MB") if limit == "" else limit)
 
     @F.udf("variant")
+    @with_access
     def value(file: str | None, path: str | None):
         if file is None or path is None:
             return None
@@ -56,6 +58,7 @@ def ls_value(*attributes: Attr):
     attrs = Attributes(attributes)
 
     @F.udf(f"map<string,struct<{','.join(_struct(ROW + attrs.schema))}>>")
+    @with_access
     def entries(file: str | None, group: str | None):
         if file is None or group is None:
             return None
@@ -69,6 +72,7 @@ def ls_swmr_value(*attributes: Attr):
     attrs = Attributes(attributes)
 
     @F.udf(f"map<string,struct<{','.join(_struct(ROW + attrs.schema))}>>")
+    @with_access
     def entries(file: str | None, group: str | None):
         if file is None or group is None:
             return None
@@ -81,6 +85,7 @@ def attributes_value():
     """f(file, path) -> map of names to variants; null where one can't be read."""
 
     @F.udf("map<string,variant>")
+    @with_access
     def found(file: str | None, path: str | None):
         if file is None or path is None:
             return None

@@ -9,6 +9,7 @@ import numpy as np
 from arrayloom.format.reader import File, Object
 from arrayloom.functions.definitions import Index, Runs, unwrap
 from arrayloom.model import INTEGER, ArrayFileError
+from arrayloom.sources.bytesource import with_access
 from arrayloom.sources.paths import expand
 
 #: Rows of a row range, at most; a range is read by one task and numbered by one array.
@@ -133,7 +134,7 @@ def bind_far(spark, paths: list[str], definitions: tuple, first: BoundFile) -> l
 
     listed = spark.createDataFrame(list(enumerate(paths))[1:], "ordinal int, path string")
     tasks = max(1, min(len(paths) - 1, 4 * spark.sparkContext.defaultParallelism))
-    found = sorted(listed.repartition(tasks).mapInArrow(run, "ordinal int, rows long, wrong string").collect())
+    found = sorted(listed.repartition(tasks).mapInArrow(with_access(run), "ordinal int, rows long, wrong string").collect())
     for r in found:
         if r.wrong is not None:
             raise ArrayFileError(r.wrong)

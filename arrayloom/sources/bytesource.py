@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import urllib.error
 import urllib.request
@@ -89,10 +90,27 @@ class HttpBytes:
         self.kept.clear()
 
 
-#: Access to SFTP servers, by host name; a worker has what its driver's module had when it was started.
+#: Access to SFTP servers, by host name. Set on the driver; each read sends what is known when it is planned to its tasks.
 sftp_access: dict = {}
 
 
+def adopt(access: dict) -> None:
+    """Makes access known to this process; by its name, as a copy of the table would be no use."""
+    sftp_access.update(access)
+
+
+def with_access(f):
+    """``f`` for a task, which knows the access that the driver knows now."""
+    access = dict(sftp_access)
+
+    @functools.wraps(f)
+    def run(*args):
+        adopt(access)
+        return f(*args)
+
+    return run if access else f
+
+
 def open_bytes(path: str):
     from arrayloom.sources import remote
 

@@ -61,7 +61,7 @@ class ArraySource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return ArrayReader(self.bound(), int(self.options.get("rangerows", RANGE_ROWS)))
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         from arrayloom.streaming.tail import TailReader
 
         b = self.bound()

@@ -15,6 +15,7 @@ from arrayloom.functions import settings
 from arrayloom.functions.definitions import Attr, unwrap
 from arrayloom.model import ArrayFileError
 from arrayloom.plans.bind import filename_column
+from arrayloom.sources.bytesource import with_access
 from arrayloom.sources.paths import expand
 
 FIXED = ("path", "type", "dtype", "shape")
@@ -176,6 +177,7 @@ def listed(spark: SparkSession, files, what: str, rows_of, attrs: Attributes, fi
     names = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "__file int, __path string").repartition(min(len(paths), 1_000))
 
     @F.udf(f"array<struct<{', '.join(_struct(ROW + attrs.schema))}>>")
+    @with_access
     def entries(path: str) -> list[tuple]:
         file = File(path)
         try:
@@ -263,6 +265,6 @@ def attributes(spark: SparkSession, files, path: str | None, filename=False, swm
 
     listed_ = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 1_000))
     schema = ", ".join([*[f"c{i} {k}" for i, (_, k) in enumerate(columns)], "__path string"])
-    wide = listed_.mapInPandas(run, schema)
+    wide = listed_.mapInPandas(with_access(run), schema)
     visible = [F.col("__path").alias(name)] if name else []
     return wide.select(*[F.col(f"c{i}").alias(n) for i, (n, _) in enumerate(columns)], *visible)

@@ -66,11 +66,15 @@ def is_remote(path: str) -> bool:
 def expand_one(pattern: str) -> list[str]:
     """The files of a pattern in order; a name without wildcards, or that of a remote file, stands for itself."""
     # A web address has no folders to list, and "?" begins its query.
-    if not MAGIC.search(pattern) or pattern.startswith(("http://", "https://", "sftp://", "hf://")):
+    if not MAGIC.search(pattern) or pattern.startswith(("http://", "https://", "hf://")):
         return [pattern]
     parts = pattern.split("/")
     if parts.count("**") > 1:
         raise ArrayFileError("Cannot use multiple '**' in one path")
+    if pattern.startswith("sftp://"):
+        from arrayloom.sources.remote import expand_sftp
+
+        return expand_sftp(pattern)
     if is_remote(pattern):
         from arrayloom.sources.remote import expand_store
 

@@ -146,29 +146,75 @@ def parse_sftp(url: str, access: SftpAccess | None = None) -> tuple[str, int, st
     return parts.hostname, port or own, unquote(parts.path)
 
 
-class SftpBytes:
-    """A file of a server, read at offsets; connections are kept for each server and access."""
+#: Open connections by server and access.
+_sessions: dict = {}
 
-    _kept: dict = {}
 
-    def __init__(self, url: str, access: SftpAccess | None):
-        if access is None:
-            raise ArrayFileError(f"No SFTP access is given for {url}")
+def sftp_session(url: str, access: SftpAccess | None):
+    """(connection, path) of a URL; connections are kept, and opened anew where a server has closed them."""
+    if access is None:
+        raise ArrayFileError(f"No SFTP access is given for {url}")
+    try:
+        import paramiko
+    except ImportError:
+        raise ArrayFileError("SFTP needs the paramiko library") from None
+    host, port, path = parse_sftp(url, access)
+    key = host, port, access
+    kept = _sessions.get(key)
+    if kept is not None and (kept[0].get_transport() is None or not kept[0].get_transport().is_active()):
+        kept[0].close()
+        kept = None
+    if kept is None:
+        client = paramiko.SSHClient()
+        if access.known_hosts_path:
+            client.load_host_keys(access.known_hosts_path)
+        client.set_missing_host_key_policy(_Fingerprint(access.host_key_fingerprint))
+        options = {}
+        if access.host_key_algorithms:  # all other kinds of host keys are refused
+            known = getattr(paramiko.Transport, "_preferred_keys", ())
+            options["disabled_algorithms"] = {"keys": [k for k in known if k not in access.host_key_algorithms]}
+        client.connect(host, port, access.username, password=access.password, key_filename=access.key_path, passphrase=access.key_passphrase, allow_agent=access.use_agent, look_for_keys=False, **options)
+        kept = _sessions[key] = client, client.open_sftp()
+    return kept[1], path
+
+
+def expand_sftp(url: str) -> list[str]:
+    """The files of a server that a pattern matches, in order; folders are listed as far as the pattern needs."""
+    from stat import S_ISDIR
+
+    from arrayloom.sources.bytesource import sftp_access
+
+    session, _ = sftp_session(url.replace("?", "%3F"), sftp_access.get(parse_sftp(url.replace("?", "%3F"))[0]))
+    path = "/" + url.partition("://")[2].partition("/")[2]
+    head = url[: len(url) - len(path)]
+    fixed = re.split(r"[*?\[]", path, maxsplit=1)[0].rpartition("/")[0]
+    match, deep = pattern_regex(path), "**" in path
+    found, todo = [], [fixed or "/"]
+    while todo:
+        folder = todo.pop()
         try:
-            import paramiko
-        except ImportError:
-            raise ArrayFileError("SFTP needs the paramiko library") from None
-        host, port, path = parse_sftp(url, access)
-        key = host, port, access
-        if key not in self._kept:
-            client = paramiko.SSHClient()
-            if access.known_hosts_path:
-                client.load_host_keys(access.known_hosts_path)
-            client.set_missing_host_key_policy(_Fingerprint(access.host_key_fingerprint))
-            client.connect(host, port, access.username, password=access.password, key_filename=access.key_path, passphrase=access.key_passphrase, allow_agent=access.use_agent, look_for_keys=False)
-            self._kept[key] = client.open_sftp()
+            entries = session.listdir_attr(folder)
+        except OSError:
+            continue
+        for e in entries:
+            name = f"{folder.rstrip('/')}/{e.filename}"
+            if S_ISDIR(e.st_mode):
+                if deep or name.count("/") < path.count("/"):
+                    todo.append(name)
+            elif match.fullmatch(name):
+                found.append(name)
+    if not found:
+        raise ArrayFileError(f'No files found that match the pattern "{url}"')
+    return [head + f for f in sorted(found, key=lambda f: f.encode("utf-8", "surrogateescape"))]
+
+
+class SftpBytes:
+    """A file of a server, read at offsets."""
+
+    def __init__(self, url: str, access: SftpAccess | None):
+        session, path = sftp_session(url, access)
         try:
-            self.file = self._kept[key].open(path, "rb")
+            self.file = session.open(path, "rb")
             self.size = self.file.stat().st_size
         except OSError as e:
             raise ArrayFileError(f"Failed to open HDF5 file: {url}") from e

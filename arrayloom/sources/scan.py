@@ -25,6 +25,7 @@ from arrayloom.model import HType
 from arrayloom.functions.settings import BATCH, batch_size, setting
 from arrayloom.operators.runs import normal_runs, run_of, segments
 from arrayloom.plans.bind import RANGE_ROWS, Bound, Column, checked_runs, dataset
+from arrayloom.sources.bytesource import adopt, sftp_access, with_access
 
 OPEN_FILES = 16
 #: Rows of a task, about, where the data are large.
@@ -165,7 +166,7 @@ def ranges(spark: SparkSession, bound: Bound, names: set[str], rows_of: int = RA
     if not constants:
         return plain_ranges(spark, bound, rows_of).drop("__rows")
     listed = spark.createDataFrame([(o, p, r) for o, p, r, _ in files], "ordinal int, path string, rows long")
-    return listed.repartition(min(len(files), 1_000)).mapInArrow(cut, schema)
+    return listed.repartition(min(len(files), 1_000)).mapInArrow(with_access(cut), schema)
 
 
 def sizes(bound: Bound, cores: int, rows_of: int | None) -> tuple[int, int]:
@@ -205,12 +206,13 @@ def scan(spark: SparkSession, bound: Bound, mode: str = "auto", rows_of: int | N
 
 
 def reader(column: Column, rows_read=None):
-    kind, path = column.type, column.path
+    kind, path, access = column.type, column.path, dict(sftp_access)
 
     @F.arrow_udf(kind)
     def read(files: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for names, rows in files:
             names, rows = names.dictionary_encode(), rows.to_numpy(zero_copy_only=False)
+            adopt(access)
             if rows_read is not None:
                 rows_read.add(len(rows))
             at = names.indices.to_numpy(zero_copy_only=False)
@@ -267,4 +269,4 @@ def full_scan(split: DataFrame, bound: Bound, batch_bytes: int, rows_read=None)
             for one in batch.to_pylist():
                 yield from read_range(columns, filename, one["__path"], one["__rows"], one["__start"], one["__end"], batch_bytes, rows_read)
 
-    return split.mapInArrow(run, schema)
+    return split.mapInArrow(with_access(run), schema)

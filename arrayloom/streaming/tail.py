@@ -1,53 +1,67 @@
-"""A stream of the rows that another process appends: the offset is each file's row count."""
+"""Structured Streaming over files that grow: rows appended behind those already read are the next micro-batch."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql.datasource import SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSourceStreamReader, InputPartition
 
-from arrayloom.plans.bind import bind
+from arrayloom.functions.settings import BATCH, batch_size, setting
+from arrayloom.plans.bind import RANGE_ROWS, Column, bind
 
 
-class TailReader(SimpleDataSourceStreamReader):
+@dataclass
+class Rows(InputPartition):
+    path: str
+    total: int
+    start: int
+    end: int
+
+
+class TailReader(DataSourceStreamReader):
     """Micro-batches of new rows. Files are bound again for each, so new files of a pattern take part too.
 
-    A batch is read on the driver, as this kind of reader does; ``most`` rows of a file bound it.
+    The driver looks at row counts only; ranges of rows are read by tasks. Files are taken to grow only.
     """
 
-    def __init__(self, files, definitions: tuple, filename, most: int = 100_000):
-        self.files, self.definitions, self.filename, self.most = files, definitions, filename, most
+    def __init__(self, files, definitions: tuple, filename, rows: int = RANGE_ROWS):
+        self.files, self.definitions, self.filename, self.rows = files, definitions, filename, rows
+        self.batch_bytes = batch_size(setting(None, BATCH, "10MB"))
+        self.known: dict[str, int] = {}
+        self.at: dict[str, int] = {}
+
+    def bound(self):
+        bound = bind(self.files, self.definitions, self.filename)
+        self.known = {f.path: f.rows for f in bound.files}
+        return bound
 
     def initialOffset(self) -> dict:
-        return {}
+        return {"rows": json.dumps({})}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        bound = bind(self.files, self.definitions, self.filename)
-        end = dict(start)
-        for f in bound.files:
-            begin = int(start.get(f.path, 0))
-            end[f.path] = max(begin, min(f.rows, begin + self.most))
-        return self.readBetweenOffsets(start, end), end
+    def latestOffset(self) -> dict:
+        self.bound()
+        self.at |= {p: max(self.at.get(p, 0), n) for p, n in self.known.items()}
+        return {"rows": json.dumps(self.at, sort_keys=True)}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(list(self._rows(start, end)))  # the caller copies the iterator
+    def partitions(self, start: dict, end: dict) -> list[Rows]:
+        begin, behind = json.loads(start["rows"]), json.loads(end["rows"])
+        self.at = {p: max(n, self.at.get(p, 0)) for p, n in behind.items()}
+        self.columns: list[Column] = self.bound().columns
+        out = []
+        for path, n in behind.items():
+            for at in range(begin.get(path, 0), n, self.rows):
+                out.append(Rows(path, max(n, self.known.get(path, n)), at, min(at + self.rows, n)))
+        return out
 
-    def _rows(self, start: dict, end: dict) -> Iterator[tuple]:
-        from arrayloom.sources.datasource import ArrayReader, RowRange
-        from arrayloom.sources.scan import fresh
+    def read(self, part: Rows) -> Iterator[pa.RecordBatch]:
+        from arrayloom.sources.scan import fresh, read_range
 
-        bound = bind(self.files, self.definitions, self.filename)
-        reader = ArrayReader(bound, self.most)
-        seen = set()
-        for f in bound.files:
-            if f.path in seen or f.path not in end:
-                continue
-            seen.add(f.path)
-            fresh(f.path)  # its row count has changed since it was last opened
-            for batch in reader.read(RowRange(f.ordinal, int(start.get(f.path, 0)), int(end[f.path]))):
-                yield from zip(*[_values(c) for c in batch.columns], strict=True)
-
-
-def _values(column: pa.Array) -> list:
-    return column.to_pylist()
+        fresh(part.path)  # its row count has changed since it was last opened
+        columns = bind([part.path], self.definitions, self.filename).columns
+        return read_range(columns, self.filename or None, part.path, part.total, part.start, part.end, self.batch_bytes)
+
+    def commit(self, end: dict) -> None:
+        pass

@@ -1,6 +1,9 @@
+import os
+
 import pytest
 
 from arrayloom.model import ArrayFileError
+from arrayloom.sources.paths import expand
 from arrayloom.sources.remote import SftpAccess, StoreBytes, expand_store, parse_sftp, pattern_regex, plain_uri
 
 
@@ -54,3 +57,78 @@ def test_sftp_urls():
 def test_sftp_access_must_be_whole(options):
     with pytest.raises(ArrayFileError):
         SftpAccess(**options)
+
+
+class Server:
+    """Stands in for the library's client: serves a folder of this machine."""
+
+    root, active, logins = "", True, 0
+
+    def __init__(self):
+        Server.logins += 1
+
+    def load_host_keys(self, path): ...
+
+    def set_missing_host_key_policy(self, policy): ...
+
+    def connect(self, host, port, user, **options):
+        assert (host, port, user, options["password"]) == ("box", 22, "me", "p")
+
+    def get_transport(self):
+        return self
+
+    def is_active(self):
+        return Server.active
+
+    def close(self): ...
+
+    def open_sftp(self):
+        return self
+
+    def listdir_attr(self, folder):
+        out = []
+        for e in os.scandir(self.root + folder):
+            out.append(type("Entry", (), {"filename": e.name, "st_mode": e.stat().st_mode})())
+        return out
+
+    def open(self, path, mode):
+        f = open(self.root + path, mode)
+        f_stat = type("Stat", (), {"st_size": os.path.getsize(self.root + path)})
+        return type("Remote", (), {"stat": lambda _: f_stat, "seek": lambda _, n: f.seek(n), "read": lambda _, n: f.read(n), "close": lambda _: f.close()})()
+
+
+def test_sftp_files_and_patterns(tmp_path, monkeypatch):
+    import sys
+    import types
+
+    from arrayloom.sources import bytesource, remote
+
+    for name in ("d/a.h5", "d/b.h5", "d/e/c.h5", "d/x.txt"):
+        os.makedirs(os.path.dirname(tmp_path / name), exist_ok=True)
+        (tmp_path / name).write_bytes(b"0123456789")
+    monkeypatch.setitem(sys.modules, "paramiko", types.SimpleNamespace(SSHClient=Server, Transport=object))
+    monkeypatch.setattr(Server, "root", str(tmp_path))
+    monkeypatch.setattr(remote, "_sessions", {})
+    monkeypatch.setitem(bytesource.sftp_access, "box", SftpAccess("me", password="p", host_key_fingerprint="SHA256:x"))
+    assert expand("sftp://box/d/*.h5", "read") == ["sftp://box/d/a.h5", "sftp://box/d/b.h5"]
+    assert expand("sftp://box/d/**/?.h5", "read") == ["sftp://box/d/a.h5", "sftp://box/d/b.h5", "sftp://box/d/e/c.h5"]
+    assert expand("sftp://box/d/a.h5", "read") == ["sftp://box/d/a.h5"]
+    with pytest.raises(ArrayFileError, match="No files found"):
+        expand("sftp://box/d/*.no", "read")
+    b = bytesource.open_bytes("sftp://box/d/b.h5")
+    assert b.size == 10 and b.read(2, 3) == b"234" and Server.logins == 1
+    Server.active = False
+    assert bytesource.open_bytes("sftp://box/d/a.h5").read(0, 2) == b"01" and Server.logins == 2
+    Server.active = True
+
+
+def test_tasks_know_the_access(spark, monkeypatch):
+    from arrayloom import api
+    from arrayloom.sources import bytesource
+
+    rows = spark.createDataFrame([("sftp://box/x.h5", "/")], "f string, g string")
+    with pytest.raises(Exception, match="No SFTP access"):
+        rows.select(api.ls_value()("f", "g")).collect()
+    monkeypatch.setitem(bytesource.sftp_access, "box", SftpAccess("me", password="p", host_key_fingerprint="SHA256:x"))
+    with pytest.raises(Exception, match="paramiko"):
+        rows.select(api.ls_value()("f", "g")).collect()
