@@ -1,7 +1,8 @@
 """Sharding along a Hilbert curve over quantised metadata, for pruning whole shards in several dimensions.
 
 Defined results: nulls in a dimension share its cell 0; a null text counts one byte and has the checksum of the
-empty text; rows that tie in cell, key and id are interchangeable; an empty table gives an empty result.
+empty text; rows that tie in cell, key and id are interchangeable; texts of any length are one row of their size;
+columns named cell, shard or slot are replaced, all others pass through; an empty table gives an empty result.
 """
 
 from __future__ import annotations

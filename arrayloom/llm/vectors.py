@@ -8,7 +8,7 @@ exact score found. No other exact vector is read or moved.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, as query or
 candidate; vectors are compared with those of their own length only; rows that repeat an id are all candidates;
-an empty table gives no rows. Scores are whole numbers of 64 bits; components or scores beyond are an error.
+an empty table gives no rows; other columns take no part. Scores are whole numbers of 64 bits; components or scores beyond are an error.
 """
 
 from __future__ import annotations

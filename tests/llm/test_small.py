@@ -963,3 +963,22 @@ def test_words_in_use_are_kept():
     for w in "abcadaeafag":
         assert kept[w] == w.upper()
     assert made.count("a") == 1 and len(kept) <= 3 and len(kept.old) <= 3
+
+
+def test_shards_keep_sources_and_sizes_together(spark, frame):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("cell", F.lit("own")).withColumn("slot", F.lit("own"))
+    rows = docs.select("doc_id", "source", "cell", "slot", F.length("text").alias("n"), sharding.category(F.col("source")).alias("d1"), sharding.category(F.col("lang")).alias("d2"), sharding.magnitude(F.octet_length("text") + 1).alias("d3"))
+    out = sharding.shard(rows, [F.col("d1"), F.col("d2"), F.col("d3")])
+    got = out.select("source", "shard", "slot", "n").collect()
+    by = collections.defaultdict(set)
+    for r in got:
+        by[r.source].add(r.shard)
+    assert sum(map(len, by.values())) / len(by) < 4 and all(isinstance(r.slot, int) for r in got)
+
+
+def test_sharding_odd_texts(frame):
+    rows = [(1, "x" * 3_000_000), (2, None), (2, None), (None, ""), (3, "é"), (3, "é")]
+    text = F.coalesce("text", F.lit(""))
+    docs = frame(rows).withColumn("d", sharding.magnitude(F.octet_length(text) + 1))
+    got = sharding.shard(docs, [F.col("d")]).collect()
+    assert len(got) == len(rows) and sorted(r.shard for r in got) == sorted({r.shard for r in got}) and all(r.slot == 0 for r in got)
