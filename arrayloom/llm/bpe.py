@@ -22,7 +22,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from arrayloom.llm.common import table
+from arrayloom.llm.common import Kept, table
 
 LONG = 256
 #: Words of a generation of those whose tokens a task keeps.
@@ -44,22 +44,6 @@ def byte_letters() -> dict[int, str]:
     return letters | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in letters)}
 
 
-class Kept(dict):
-    """Tokens of words, made on first use, in two generations: what is not asked for while a whole one fills up is dropped."""
-
-    def __init__(self, make, most: int = KEPT_WORDS):
-        super().__init__()
-        self.make, self.most, self.old = make, most, {}
-
-    def __missing__(self, word):
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        out = self.old.get(word)
-        self[word] = out = self.make(word) if out is None else out
-        return out
-
-
 class WordBpe:
     """Encoder and decoder of a tokenizer file: BPE with word ends, NFC, blanks to one space, lower case."""
 
@@ -77,7 +61,7 @@ class WordBpe:
         self.word = regex.compile(pattern, regex.V0)
         self.blank = regex.compile(r"\s+")
         self.letters = byte_letters()
-        self.kept = Kept(self._texts)
+        self.kept = Kept(self._texts, KEPT_WORDS)
 
     def merge(self, ids: list[int]) -> list[int]:
         """The ids left when all merges of a word are done, least rank first, leftmost among equals."""

@@ -15,6 +15,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+class Kept(dict):
+    """Values by key, made on first use, in two generations: what is not asked for while a whole one fills up is dropped."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        out = self.old.get(key)
+        self[key] = out = self.make(key) if out is None else out
+        return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

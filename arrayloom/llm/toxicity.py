@@ -28,14 +28,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrayloom.llm.common import table
+from arrayloom.llm.common import Kept, table
 
 FEATURES = 1 << 18
 GRAMS = (4, 5)
 #: Rows that a classifier is fitted on, at most, and characters of theirs together: these bound the driver's memory, not
 #: what is scored.
 MOST_POSITIVE, MOST_UNLABELLED, MOST_CHARS = 3_000, 5_000, 50_000_000
-KEPT_WORDS = 400_000
+#: Words of a generation of those whose weights a task keeps.
+KEPT_WORDS = 200_000
 
 #: Letters of a word, at most; longer runs are read in pieces that share as many letters as the longest gram has.
 LONGEST = 64
@@ -61,18 +62,11 @@ class Model:
 
     def scorer(self):
         """Scores texts; the words' weights are kept for as long as they fit."""
-        kept: dict[str, float] = {}
         weights, bias = self.weights, self.bias
+        kept = Kept(lambda w: float(weights[features(w)].sum()), KEPT_WORDS)
 
         def score(text: str | None) -> float:
-            found = []
-            if len(kept) > KEPT_WORDS:
-                kept.clear()
-            for w in words(text):
-                v = kept.get(w)
-                if v is None:
-                    v = kept[w] = float(weights[features(w)].sum())
-                found.append(v)
+            found = map(kept.__getitem__, words(text))
             z = bias + math.fsum(v for v in found if v > 0)  # in whatever order the words come
             return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
