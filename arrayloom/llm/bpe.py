@@ -26,7 +26,7 @@ from arrayloom.llm.common import Kept, table
 
 LONG = 256
 #: Words of a generation of those whose tokens a task keeps.
-KEPT_WORDS = 120_000
+KEPT_WORDS = 90_000
 #: Characters of texts whose ids a task holds at once, about.
 PART_CHARS = 1_000_000
 
