@@ -10,6 +10,7 @@ from functools import cached_property
 
 import numpy as np
 
+from arrayloom.format.packed import nbit, scaled
 from arrayloom.model import ARRAY, ENUM, FLOAT, INTEGER, STRING, VLEN, ArrayFileError, HType, Space
 from arrayloom.sources.bytesource import open_bytes
 
@@ -171,7 +172,7 @@ class File:
 
     def btree2(self, address: int) -> Iterator[bytes]:
         """All records of a version 2 tree, in order."""
-        c = self.cursor(self.read(address, 22 + self.offsets + 2 + self.lengths), 6)
+        c = self.cursor(self.read(address, 18 + self.offsets + self.lengths), 6)
         node, size, depth = c.uint(4), c.uint(2), c.uint(2)
         c.at += 2
         root, n = c.address(), c.uint(2)
@@ -181,7 +182,7 @@ class File:
         most = [(node - 10) // size]
         totals, total_bytes = [most[0]], [0]
         for d in range(1, depth + 1):
-            pointer = self.offsets + wide(most[d - 1] if d == 1 else most[d - 1]) + (total_bytes[d - 1] if d > 1 else 0)
+            pointer = self.offsets + wide(most[0]) + (total_bytes[d - 1] if d > 1 else 0)
             most.append((node - 10 - pointer) // (size + pointer))
             totals.append((most[d] + 1) * totals[d - 1] + most[d])
             total_bytes.append(wide(totals[d]))
@@ -193,7 +194,7 @@ class File:
                 yield from records
                 return
             for i in range(n + 1):
-                child, m = c.address(), c.uint(wide(most[0]) if d == 1 else wide(most[d - 1]))
+                child, m = c.address(), c.uint(wide(most[0]))
                 if d > 1:
                     c.at += total_bytes[d - 1]
                 yield from walk(child, m, d - 1)
@@ -220,10 +221,11 @@ class FractalHeap:
 
     def __init__(self, file: File, address: int):
         self.file = file
-        c = file.cursor(file.read(address, 22 + 12 * file.lengths + 3 * file.offsets + 12 + 16), 5)
+        c = file.cursor(file.read(address, 22 + 12 * file.lengths + 3 * file.offsets), 5)
         self.id_size, filters, self.flags, self.max_managed = c.uint(2), c.uint(2), c.uint(1), c.uint(4)
         c.length()
         self.huge = c.address()
+        self.huge_objects: dict[int, tuple[int, int]] | None = None
         c.length()
         c.address()
         for _ in range(8):
@@ -259,12 +261,26 @@ class FractalHeap:
                 base += size
         raise ArrayFileError("Broken heap")
 
+    def huge_place(self, heap_id: bytes) -> tuple[int, int]:
+        """(address, bytes) of an object outside the heap's blocks: in the id where that has room, else in a tree by number."""
+        f = self.file
+        c = f.cursor(heap_id, 1)
+        if self.id_size - 1 >= f.offsets + f.lengths:
+            return c.address(), c.length()
+        if self.huge_objects is None:
+            self.huge_objects = {}
+            for r in f.btree2(self.huge):
+                own = f.cursor(r)
+                place = own.address(), own.length()
+                self.huge_objects[own.length()] = place
+        return self.huge_objects[c.uint(min(self.id_size - 1, 8))]
+
     def get(self, heap_id: bytes) -> bytes:
         kind = heap_id[0] >> 4 & 3
         if kind == 2:  # tiny: in the id itself
             return heap_id[1 : 2 + (heap_id[0] & 15)]
         if kind == 1:
-            raise ArrayFileError("Huge heap objects are not supported")
+            return self.file.read(*self.huge_place(heap_id))
         c = Cursor(heap_id, 1)
         offset, size = c.uint(self.offset_size), c.uint(self.length_size)
         block, base = self.find(offset, self.root, 0, self.rows)
@@ -278,7 +294,8 @@ def parse_type(file: File, data: bytes, at: int = 0) -> tuple[HType, int]:
     size = int.from_bytes(data[at + 4 : at + 8], "little")
     end = at + 8
     if kind == INTEGER:
-        return HType(kind, size, signed=bool(bits & 8), big=bool(bits & 1)), end + 4
+        offset, precision = struct.unpack_from("<HH", data, end)
+        return HType(kind, size, signed=bool(bits & 8), big=bool(bits & 1), offset=offset, precision=precision), end + 4
     if kind == FLOAT:
         return HType(kind, size, signed=True, big=bool(bits & 1)), end + 12
     if kind == STRING:
@@ -581,17 +598,21 @@ class Object:
                 if start[0] < last and start[0] + lay.chunk[0] > first:
                     yield Chunk(start, address, n, mask)
         else:
-            # Chunks are numbered by the extents that the dataset may grow to.
+            # Chunks are numbered by the extents that the dataset may grow to, the one without a bound first.
             most = self.space.most or dims
-            if None in most[1:]:
-                raise ArrayFileError(f"Unsupported chunk index: only the first dimension may be unlimited, in file: {f.path}")
-            grid = [grid[0], *[-(-m // c) for m, c in zip(most[1:], lay.chunk[1:], strict=True)]]
+            free = [i for i, m in enumerate(most) if m is None]
+            if len(free) > 1:
+                raise ArrayFileError(f"Broken chunk index: two dimensions without a bound in file: {f.path}")
+            grows = free[0] if free else 0
+            order = [grows, *[i for i in range(len(dims)) if i != grows]]
+            grid = [grid[i] if most[i] is None or i == grows == 0 else -(-most[i] // lay.chunk[i]) for i in order]
             per_row = int(np.prod(grid[1:], dtype=np.int64))
-            lo, hi = first // lay.chunk[0] * per_row, min(grid[0], -(-last // lay.chunk[0])) * per_row
+            lo, hi = (0, grid[0] * per_row) if grows else (first // lay.chunk[0] * per_row, min(grid[0], -(-last // lay.chunk[0])) * per_row)
             for number, (address, n, mask) in zip(range(lo, hi), self.array_entries(lo, hi, size), strict=False):
                 if address is not None:
-                    place = tuple(int(p) * c for p, c in zip(np.unravel_index(number, grid), lay.chunk, strict=True))
-                    if all(p < d for p, d in zip(place, dims, strict=True)):
+                    at = dict(zip(order, np.unravel_index(number, grid), strict=True))
+                    place = tuple(int(at[i]) * c for i, c in enumerate(lay.chunk))
+                    if place[0] < last and place[0] + lay.chunk[0] > first and all(p < d for p, d in zip(place, dims, strict=True)):
                         yield Chunk(place, address, n, mask)
 
     def array_entries(self, lo: int, hi: int, size: int) -> Iterator[tuple[int | None, int, int]]:
@@ -649,7 +670,7 @@ class Object:
         yield from entries(c.take(in_index * width), width)
         done = in_index
 
-        def block(address: int | None, n: int, pages: bytes | None) -> Iterator[tuple[int | None, int, int]]:
+        def block(address: int | None, n: int, written: bytes | None, bit: int) -> Iterator[tuple[int | None, int, int]]:
             if address is None:
                 yield from ((None, 0, 0) for _ in range(n))
                 return
@@ -659,14 +680,17 @@ class Object:
                 return
             at += 4
             for p in range(n // page):
-                yield from entries(f.read(at + p * (page * width + 4), page * width), width)
+                if written is None or written[(bit + p) // 8] >> (7 - (bit + p) % 8) & 1:
+                    yield from entries(f.read(at + p * (page * width + 4), page * width), width)
+                else:
+                    yield from ((None, 0, 0) for _ in range(page))
 
         blocks = [(c.address(), plan[s][1]) for s in range(direct) for _ in range(plan[s][0])]
         rest = [c.address() for _ in range(n_rest)]
         for address, n in blocks:
             if done >= total:
                 return
-            yield from block(address, n, None)
+            yield from block(address, n, None, 0)
             done += n
         for s, address in enumerate(rest, direct):
             if done >= total:
@@ -676,13 +700,16 @@ class Object:
                 yield from ((None, 0, 0) for _ in range(n_blocks * n))
             else:
                 bitmap = n_blocks * (-(-(n // page) // 8)) if n > page else 0
-                inner = f.cursor(f.read(address, 6 + f.offsets + offset_size + bitmap + n_blocks * f.offsets), 6 + f.offsets + offset_size + bitmap)
-                for _ in range(n_blocks):
-                    yield from block(inner.address(), n, None)
+                inner = f.cursor(f.read(address, 6 + f.offsets + offset_size + bitmap + n_blocks * f.offsets), 6 + f.offsets + offset_size)
+                written = inner.take(bitmap) or None
+                for i in range(n_blocks):
+                    yield from block(inner.address(), n, written, i * (n // page))
             done += n_blocks * n
 
     def unfiltered(self, chunk: Chunk) -> bytes:
         data = self.file.read(chunk.address, chunk.size)
+        if self.layout.detail.get("flags", 0) & 1 and any(o + c > d for o, c, d in zip(chunk.offset, self.layout.chunk, self.space.dims, strict=True)):
+            return data  # chunks beyond the extent are stored as they are
         for i, (number, values) in reversed(list(enumerate(self.filters))):
             if chunk.mask >> i & 1:
                 continue
@@ -694,6 +721,10 @@ class Object:
                 data = np.frombuffer(data[: n * size], np.uint8).reshape(size, n).T.tobytes() + data[n * size :]
             elif number == 3:
                 data = data[:-4]
+            elif number == 5:
+                data = nbit(data, values, self.file.path)
+            elif number == 6:
+                data = scaled(data, values, self.file.path)
             else:
                 raise ArrayFileError(f"Unsupported filter {number} in file: {self.file.path}")
         return data

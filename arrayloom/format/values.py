@@ -37,9 +37,12 @@ def vlen_bytes(file: File, raw: bytes) -> bytes | None:
 
 
 def numbers(raw: np.ndarray, kind: HType) -> np.ndarray:
-    """Numbers in the machine's byte order; half precision is widened."""
+    """Numbers in the machine's byte order; half precision is widened, integers of fewer bits than their bytes have are too."""
     out = np.ascontiguousarray(raw).view(kind.numpy()).reshape(raw.shape)
     out = out.astype(out.dtype.newbyteorder("="), copy=False)
+    if kind.kind == INTEGER and 0 < kind.precision < 8 * kind.size:
+        # Up to the top, dropping what is above, and back down, which repeats the sign.
+        out = out << out.dtype.type(8 * kind.size - kind.precision - kind.offset) >> out.dtype.type(8 * kind.size - kind.precision)
     return out.astype(np.float32) if kind.kind == FLOAT and kind.size == 2 else out
 
 

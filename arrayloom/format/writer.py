@@ -316,10 +316,13 @@ class Writer:
             tree = self.sealed(struct.pack("<4sBBIHHBBQHQ", b"BTHD", 0, kind_, bytes_, size, 0, 100, 40, leaf, len(records), len(records)))
             return head + b"\x05" + struct.pack("<IBB", bytes_, 100, 40) + struct.pack("<Q", tree)
         most = node.most or dims
-        grid = [-(-(d if m is None else m) // c) for d, m, c in zip(dims, most, node.chunk, strict=True)]
+        # The dimension without a bound is numbered first.
+        grows = most.index(None) if None in most else 0
+        order = [grows, *[i for i in range(len(dims)) if i != grows]]
+        grid = [-(-(dims[i] if most[i] is None else most[i]) // node.chunk[i]) for i in order]
         slots = [none] * int(np.prod(grid))
         for start, raw in found:
-            slots[int(np.ravel_multi_index([s // c for s, c in zip(start, node.chunk, strict=True)], grid))] = entry(raw)
+            slots[int(np.ravel_multi_index([start[i] // node.chunk[i] for i in order], grid))] = entry(raw)
         if node.index == "fixed":
             return head + b"\x03" + struct.pack("<BQ", 2, self.fixed_array(slots, width, filtered, 2))
         return head + b"\x04" + struct.pack("<5B", 32, 4, 4, 16, 3) + struct.pack("<Q", self.extensible_array(slots, width, filtered))

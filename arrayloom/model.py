@@ -26,6 +26,9 @@ class HType:
     vlen_string: bool = False
     base: HType | None = None
     dims: tuple[int, ...] = ()
+    #: Integers: the bits that count and where they begin; no precision stands for all bits.
+    precision: int = 0
+    offset: int = 0
 
     @property
     def is_string(self) -> bool:

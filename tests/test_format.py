@@ -3,10 +3,11 @@ import struct
 import numpy as np
 import pytest
 
-from arrayloom.format.reader import File
-from arrayloom.format.values import attribute_value, decode
+from arrayloom.format.packed import nbit, scaled
+from arrayloom.format.reader import File, FractalHeap
+from arrayloom.format.values import attribute_value, decode, numbers
 from arrayloom.format.writer import Null, Soft, Writer, array_of, checksum, fixed_string, number, opaque, vlen_string
-from arrayloom.model import ArrayFileError
+from arrayloom.model import INTEGER, ArrayFileError, HType
 
 
 @pytest.fixture(params=[False, True], ids=["old", "latest"])
@@ -215,3 +216,161 @@ def test_a_hand_built_dense_group(tmp_path):
     f = File(str(tmp_path / "y.h5"))
     assert [x.name for x in f.root.links] == ["alpha", "beta"]
     assert rows(f, "/beta").tolist() == [0, 1, 2]
+
+
+@pytest.mark.parametrize("deflate", [0, 1])
+def test_another_dimension_than_the_first_may_grow(tmp_path, deflate):
+    values = np.arange(7 * 120 * 2, dtype=np.int32).reshape(7, 120, 2)
+    w = Writer(str(tmp_path / "x.h5"), latest=True)
+    w.dataset("/x", values, chunk=(2, 3, 2), deflate=deflate, index="extensible", most=(9, None, 2))
+    w.close()
+    f = File(w.path)
+    for a, b in ((0, 7), (3, 4), (6, 7), (2, 2)):
+        assert (rows_of(f, a, b) == values[a:b]).all()
+
+
+def test_pages_that_were_never_written_hold_the_fill_value(tmp_path):
+    values = np.arange(700, dtype=np.int32)
+    w = Writer(str(tmp_path / "x.h5"), latest=True)
+    w.dataset("/x", values, chunk=(1,), index="extensible", most=(None,), fill=np.int32(-1))
+    w.close()
+    data = bytearray((tmp_path / "x.h5").read_bytes())
+    # The last super block: blocks of 128 entries in pages of 8, so 16 bits for each block.
+    at = [i for i in range(len(data)) if data[i : i + 4] == b"EASB"][0] + 4 + 2 + 8 + 4
+    data[at] = 0b10111111
+    (tmp_path / "y.h5").write_bytes(data)
+    got = rows_of(File(str(tmp_path / "y.h5")), 0, 700)
+    lost = np.flatnonzero(got != values)
+    assert len(lost) == 8 and (np.diff(lost) == 1).all() and (got[lost] == -1).all()
+
+
+def test_chunks_beyond_the_extent_may_be_left_unfiltered(tmp_path):
+    values = np.arange(10, dtype=np.int32)
+    w = Writer(str(tmp_path / "x.h5"), latest=True)
+    w.dataset("/x", values, chunk=(4,), deflate=1, index="btree2")
+    w.close()
+    f = File(w.path)
+    d = f.resolve("/x")
+    last = next(iter(d.chunks(8, 10)))
+    raw = np.array([8, 9, 0, 0], "<i4").tobytes()
+    data = bytearray((tmp_path / "x.h5").read_bytes())
+    where = len(data)
+    (tmp_path / "y.h5").write_bytes(data + raw)
+    g = File(str(tmp_path / "y.h5"))
+    own = g.resolve("/x")
+    own.layout.detail["flags"] = 1
+    assert own.unfiltered(type(last)(last.offset, where, len(raw), last.mask)) == raw
+    assert own.unfiltered(next(iter(own.chunks(0, 4)))) == values[:4].tobytes()
+
+
+def test_integers_of_fewer_bits_than_their_bytes():
+    signed, unsigned = HType(INTEGER, 2, signed=True, precision=12, offset=3), HType(INTEGER, 4, precision=20, offset=0)
+    raw = np.array([(v & 0xFFF) << 3 | 0x8005 for v in (-2048, -1, 0, 2047)], "<u2")
+    assert numbers(raw, signed).tolist() == [-2048, -1, 0, 2047]
+    assert numbers(np.array([0xFFF00001, 5], "<u4"), unsigned).tolist() == [1, 5]
+
+
+def test_n_bit_chunks_by_hand():
+    # Three elements of 12 bits, the highest bit first: ABC 123 FFF, and four bits to fill the byte.
+    data = bytes([0xAB, 0xC1, 0x23, 0xFF, 0xF0])
+    assert nbit(data, (8, 0, 3, 1, 2, 0, 12, 0), "f") == np.array([0xABC, 0x123, 0xFFF], "<u2").tobytes()
+    assert nbit(data, (8, 0, 3, 1, 4, 1, 12, 4), "f") == np.array([0xABC0, 0x1230, 0xFFF0], ">u4").tobytes()
+    assert nbit(data, (10, 0, 1, 2, 6, 1, 2, 0, 12, 0), "f") == np.array([0xABC, 0x123, 0xFFF], "<u2").tobytes()
+    assert nbit(b"as it is", (8, 1, 1, 1, 8, 0, 64, 0), "f") == b"as it is"
+    with pytest.raises(ArrayFileError, match="N-bit"):
+        nbit(data, (8, 0, 3, 3, 2, 0), "f")
+
+
+def scale_offset(width, least, packed):
+    return struct.pack("<IB8s8x", width, 8, least) + packed
+
+
+def test_scale_offset_chunks_by_hand():
+    # Differences 0 7 3 6 of 3 bits: 000 111 011 110, and four bits to fill the byte.
+    packed = bytes([0b00011101, 0b11100000])
+    least = struct.pack("<q", -5)
+    whole = scale_offset(3, least, packed)
+    assert scaled(whole, (2, 0, 4, 0, 4, 1, 0, 0), "f") == np.array([-5, 2, -2, 1], "<i4").tobytes()
+    assert scaled(whole, (2, 0, 4, 0, 4, 1, 1, 0), "f") == np.array([-5, 2, -2, 1], ">i4").tobytes()
+    fill = struct.unpack("<I", struct.pack("<i", -99))[0]
+    assert scaled(whole, (2, 0, 4, 0, 4, 1, 0, 1, fill), "f") == np.array([-5, -99, -2, 1], "<i4").tobytes()
+    assert scaled(scale_offset(0, least, b""), (2, 0, 2, 0, 2, 1, 0, 0), "f") == np.array([-5, -5], "<i2").tobytes()
+    full = np.array([1, -1], "<i4").tobytes()
+    assert scaled(scale_offset(32, least, full), (2, 0, 2, 0, 4, 1, 0, 0), "f") == full
+    assert scaled(full, (2, 32, 2, 0, 4, 1, 0, 0), "f") == full
+    decimals = scale_offset(3, struct.pack("<d", 1.5), packed)
+    assert np.frombuffer(scaled(decimals, (0, 2, 4, 1, 8, 1, 0, 0), "f"), "<f8") == pytest.approx([1.5, 1.57, 1.53, 1.56])
+    short = scale_offset(3, struct.pack("<f4x", 1.5), packed)
+    assert np.frombuffer(scaled(short, (0, 2, 4, 1, 4, 1, 1, 0), "f"), ">f4") == pytest.approx([1.5, 1.57, 1.53, 1.56])
+
+
+def test_a_hand_built_file_of_the_oldest_kind(tmp_path):
+    """Superblock 0, a symbol table, local heap, and scale-offset chunks below a version 1 tree, by hand from the specification."""
+    none = 0xFFFFFFFFFFFFFFFF
+    root, tree, heap, names, node, data, chunks, first, second = 96, 160, 248, 280, 312, 672, 1200, 1400, 1500
+    out = bytearray(1600)
+
+    def put(at, *parts):
+        body = b"".join(parts)
+        assert not any(out[at : at + len(body)])
+        out[at : at + len(body)] = body
+
+    def message(kind, body):
+        body = body.ljust(-(-len(body) // 8) * 8, b"\0")
+        return struct.pack("<HHB3x", kind, len(body), 0) + body
+
+    def header(messages):
+        body = b"".join(messages)
+        return struct.pack("<BxHII4x", 1, len(messages), 1, len(body)) + body
+
+    put(0, b"\x89HDF\r\n\x1a\n", struct.pack("<8BHHI", 0, 0, 0, 0, 0, 8, 8, 0, 4, 16, 0), struct.pack("<4Q", 0, none, len(out), none))
+    put(56, struct.pack("<QQII", 0, root, 1, 0), struct.pack("<QQ", tree, heap))
+    put(root, header([message(17, struct.pack("<QQ", tree, heap))]))
+    put(tree, b"TREE", struct.pack("<BBHQQ", 0, 0, 1, none, none), struct.pack("<QQQ", 0, node, 8))
+    put(heap, b"HEAP", struct.pack("<B3xQQQ", 0, 32, none, names))
+    put(names, b"\0" * 8 + b"x\0")
+    put(node, b"SNOD", struct.pack("<BxH", 1, 1), struct.pack("<QQII16x", 8, data, 0, 0))
+    space = struct.pack("<BBB5xQ", 1, 1, 0, 6)
+    kind = struct.pack("<B3BI2H", 0x10, 8, 0, 0, 4, 0, 32)
+    fill = struct.pack("<4BI", 2, 3, 0, 1, 0)
+    layout = struct.pack("<BBBQII", 3, 2, 2, chunks, 4, 4)
+    values = [2, 0, 4, 0, 4, 1, 0, 0, *[0] * 12]
+    pipeline = struct.pack("<BB6x", 1, 1) + struct.pack("<HHHH", 6, 0, 0, 20) + struct.pack("<20I", *values)
+    put(data, header([message(1, space), message(3, kind), message(5, fill), message(8, layout), message(11, pipeline)]))
+    a, b = (scale_offset(3, struct.pack("<q", v), bytes([0b00011101, 0b11100000])) for v in (-5, 100))
+    put(chunks, b"TREE", struct.pack("<BBHQQ", 1, 0, 2, none, none), struct.pack("<IIQQQ", len(a), 0, 0, 0, first), struct.pack("<IIQQQ", len(b), 0, 4, 0, second), struct.pack("<IIQQ", 0, 0, 8, 4))
+    put(first, a)
+    put(second, b)
+    (tmp_path / "x.h5").write_bytes(out)
+    f = File(str(tmp_path / "x.h5"))
+    assert [x.name for x in f.root.links] == ["x"]
+    assert f.resolve("/x").type.name == "int32"
+    assert rows(f, "/x").tolist() == [-5, 2, -2, 1, 100, 107]
+    assert rows(f, "/x", 3, 5).tolist() == [1, 100]
+
+
+@pytest.mark.parametrize("in_id", [False, True])
+def test_huge_heap_objects_by_hand(tmp_path, in_id):
+    """Attributes too large for a heap's blocks: in the file by themselves, told by the id or by a tree of numbers."""
+    w = Writer(str(tmp_path / "x.h5"), latest=True)
+    w.dataset("/d", np.arange(3))
+    w.close()
+    out = bytearray((tmp_path / "x.h5").read_bytes())
+    none = 0xFFFFFFFFFFFFFFFF
+
+    def put(data):
+        out.extend(b"\0" * (-len(out) % 8))
+        out.extend(data)
+        return len(out) - len(data)
+
+    text = bytes(range(256)) * 300
+    where = put(text)
+    record = struct.pack("<QQQ", where, len(text), 7)
+    leaf = put((struct.pack("<4sBB", b"BTLF", 0, 1) + record).ljust(512, b"\0"))
+    tree = put(struct.pack("<4sBBIHHBBQHQ", b"BTHD", 0, 1, 512, 24, 0, 100, 40, leaf, 1, 1) + b"\0" * 4)
+    head = struct.pack("<4sBHHBI", b"FRHP", 0, 17 if in_id else 8, 0, 0, 4_096) + struct.pack("<QQQQ", 7, none if in_id else tree, 0, none) + struct.pack("<8Q", *[0] * 8)
+    heap = put((head + struct.pack("<HQQHHQH", 4, 512, 1_024, 32, 0, none, 0)).ljust(160, b"\0"))
+    (tmp_path / "y.h5").write_bytes(out)
+    found = FractalHeap(File(str(tmp_path / "y.h5")), heap)
+    heap_id = b"\x10" + (struct.pack("<QQ", where, len(text)) if in_id else struct.pack("<Q", 7)[:7])
+    assert found.get(heap_id) == text
