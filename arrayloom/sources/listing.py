@@ -6,6 +6,7 @@ import decimal
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from arrayloom.format.values import attribute_type, attribute_value, element, va
 from arrayloom.functions import settings
 from arrayloom.functions.definitions import Attr, unwrap
 from arrayloom.model import ArrayFileError
-from arrayloom.plans.bind import filename_column
+from arrayloom.plans.bind import BIND_HERE, filename_column
 from arrayloom.sources.bytesource import with_access
 from arrayloom.sources.paths import expand
 
@@ -219,6 +220,21 @@ def ls(spark: SparkSession, files, group: str | None = "/", *attributes, filenam
     return listed(spark, files, "ls", lambda file: ls_rows(file, group, attrs), attrs, filename)
 
 
+def first_far(spark: SparkSession, paths: list[str], wrong) -> str | None:
+    """What is wrong with the first file that has something wrong; tasks open the files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(one["ordinal"], wrong(one["path"])) for one in batch.to_pylist()]
+            at, errors = zip(*[x for x in found if x[1] is not None], strict=True) if any(e for _, e in found) else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(errors, pa.string())], ["ordinal", "error"])
+
+    listed = spark.createDataFrame(list(enumerate(paths)), "ordinal int, path string")
+    tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
+    first = listed.repartition(tasks).mapInArrow(with_access(run), "ordinal int, error string").orderBy("ordinal").first()
+    return None if first is None else first.error
+
+
 def attributes(spark: SparkSession, files, path: str | None, filename=False, swmr: bool | None = None) -> DataFrame:
     """One row for each file with the attributes of an object, which must be the same in all, by name."""
     settings.swmr(spark, swmr)
@@ -247,9 +263,19 @@ def attributes(spark: SparkSession, files, path: str | None, filename=False, swm
 
     paths = expand(files, "attributes")
     columns = schema_of(paths[0])
-    for p in paths[1:]:
-        if schema_of(p) != columns:
-            raise ArrayFileError(f"attributes matched file '{p}' with an incompatible attribute schema")
+
+    def wrong(one: str) -> str | None:
+        try:
+            return None if schema_of(one) == columns else f"attributes matched file '{one}' with an incompatible attribute schema"
+        except ArrayFileError as e:
+            return str(e)
+
+    if len(paths) > BIND_HERE:
+        error = first_far(spark, paths[1:], wrong)
+    else:
+        error = next((e for e in map(wrong, paths[1:]) if e is not None), None)
+    if error is not None:
+        raise ArrayFileError(error)
     if name and name.lower() in [n.lower() for n, _ in columns]:
         raise ArrayFileError(f'Option filename adds column "{name}", but that column name is already present in attributes output')
 

@@ -83,7 +83,10 @@ def read_rows(path: str, column: str, rows: np.ndarray) -> np.ndarray:
     found = dataset(file, column)
     if not len(rows):
         return decode(file, found.raw_rows(0, 0), found.type, column)
-    order = np.argsort(rows, kind="stable") if (np.diff(rows) < 0).any() else np.arange(len(rows))
+    steps = np.diff(rows)
+    if (steps == 1).all():
+        return decode(file, found.raw_rows(int(rows[0]), int(rows[-1]) + 1), found.type, column)
+    order = np.argsort(rows, kind="stable") if (steps < 0).any() else np.arange(len(rows))
     wanted = rows[order]
     chunk = found.layout.chunk[0] if found.layout.chunk else 1
     # Rows of one chunk are read together, for a chunk is decoded as a whole.

@@ -348,3 +348,26 @@ def test_short_runs_are_read_in_wide_batches(spark, file):
     x = got["x"].to_numpy()
     assert (got["w"].dropna().to_numpy() == ((x + 1) // 2 * 2)[: len(got["w"].dropna())]).all()
     assert (got["v"][1:].to_numpy() == (x[1:] - 1) // 3 * 3 + 1).all() and got["v"].isna()[0]
+
+
+def test_attributes_of_many_files_are_compared_by_tasks(spark, tmp_path, monkeypatch):
+    from arrayloom.sources import listing
+
+    monkeypatch.setattr(listing, "BIND_HERE", 2)
+    paths = [str(tmp_path / f"{i}.h5") for i in range(5)]
+
+    def write(i, **attributes):
+        w = Writer(paths[i])
+        w.root.attributes.update(attributes)
+        w.dataset("/x", np.arange(2))
+        w.close()
+
+    for i in range(5):
+        write(i, n=np.int32(i))
+    assert collect(api.attributes(spark, paths, "/"), "n") == [(i,) for i in range(5)]
+    write(4)
+    with pytest.raises(ArrayFileError, match="no attributes.*4.h5"):
+        api.attributes(spark, paths, "/")
+    write(3, n=np.float64(1))
+    with pytest.raises(ArrayFileError, match="3.h5' with an incompatible attribute schema"):
+        api.attributes(spark, paths, "/")
