@@ -374,3 +374,33 @@ def test_huge_heap_objects_by_hand(tmp_path, in_id):
     found = FractalHeap(File(str(tmp_path / "y.h5")), heap)
     heap_id = b"\x10" + (struct.pack("<QQ", where, len(text)) if in_id else struct.pack("<Q", 7)[:7])
     assert found.get(heap_id) == text
+
+
+def test_a_deep_tree_by_hand(tmp_path):
+    """A version 2 tree of three levels; a leaf has room for more than 255 records, so all counts take two bytes."""
+    w = Writer(str(tmp_path / "x.h5"), latest=True)
+    w.dataset("/d", np.arange(3))
+    w.close()
+    out = bytearray((tmp_path / "x.h5").read_bytes())
+
+    def put(data, n=4_096):
+        out.extend(b"\0" * (-len(out) % 8))
+        out.extend(data.ljust(n, b"\0"))
+        return len(out) - n
+
+    def record(i):
+        return struct.pack("<I7x", i)
+
+    def leaf(i):
+        return put(struct.pack("<4sBB", b"BTLF", 0, 5) + record(i))
+
+    def inner(i):
+        return put(struct.pack("<4sBB", b"BTIN", 0, 5) + record(i) + b"".join(struct.pack("<QH", leaf(j), 1) for j in (i - 1, i + 1)))
+
+    # 194 records fit a node above leaves of 371: 195 * 371 + 194 below it, at most, which take three bytes.
+    below = b"".join(struct.pack("<QH", inner(i), 1) + (3).to_bytes(3, "little") for i in (2, 6))
+    root = put(struct.pack("<4sBB", b"BTIN", 0, 5) + record(4) + below)
+    tree = put(struct.pack("<4sBBIHHBBQHQ", b"BTHD", 0, 5, 4_096, 11, 2, 100, 40, root, 1, 7), 38)
+    (tmp_path / "y.h5").write_bytes(out)
+    found = [struct.unpack_from("<I", r)[0] for r in File(str(tmp_path / "y.h5")).btree2(tree)]
+    assert found == [1, 2, 3, 4, 5, 6, 7]
