@@ -179,6 +179,16 @@ def sizes(bound: Bound, cores: int, rows_of: int | None) -> tuple[int, int]:
     return rows_of, max(1, min(sum(-(-f.rows // rows_of) for f in bound.files), max(2 * cores, -(-total // TASK_ROWS))))
 
 
+def of_any_size(split: DataFrame) -> DataFrame:
+    """The ranges, whose size tells nothing of the rows that are read from them.
+
+    Once they are dealt out, adaptive plans take the few bytes of their list for the size of the whole scan, and would
+    send a table of any size through the driver to broadcast it in a join. An RDD has no known size, so with one
+    without partitions beside them joins are chosen by the size of the rows that are shuffled, or by a hint.
+    """
+    return split.union(split.sparkSession.createDataFrame(split.sparkSession.sparkContext.emptyRDD(), split.schema))
+
+
 def scan(spark: SparkSession, bound: Bound, mode: str = "auto", rows_of: int | None = None, rows_read=None) -> DataFrame:
     """All columns in the order of their definitions, then the file name if asked for.
 
@@ -192,11 +202,11 @@ def scan(spark: SparkSession, bound: Bound, mode: str = "auto", rows_of: int | N
     name = [F.col("__path").alias(bound.filename)] if bound.filename else []
     if mode == "full":
         most = batch_size(setting(spark, BATCH, "10MB"))
-        return full_scan(plain_ranges(spark, bound, rows_of).repartition(tasks), bound, most, rows_read)
+        return full_scan(of_any_size(plain_ranges(spark, bound, rows_of).repartition(tasks)), bound, most, rows_read)
     split = ranges(spark, bound, {c.name for c in columns}, rows_of)
     if any(c.kind == "runs" for c in columns) and given is None:
         tasks = max(tasks, 2 * spark.sparkContext.defaultParallelism)  # runs cut the ranges further
-    rows = split.repartition(tasks).withColumn("__row", F.explode(F.sequence("__start", F.col("__end") - 1)))
+    rows = of_any_size(split.repartition(tasks)).withColumn("__row", F.explode(F.sequence("__start", F.col("__end") - 1)))
     out = []
     for c in columns:
         if c.kind == "index":

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrayloom import api
-from arrayloom.format.writer import Null, Writer, fixed_string, number, opaque
+from arrayloom.format.writer import Null, Writer, fixed_string, number, opaque, vlen_string
 from arrayloom.functions.settings import batch_size, memory_limit
 from arrayloom.model import ArrayFileError
 
@@ -371,3 +371,38 @@ def test_attributes_of_many_files_are_compared_by_tasks(spark, tmp_path, monkeyp
     write(3, n=np.float64(1))
     with pytest.raises(ArrayFileError, match="3.h5' with an incompatible attribute schema"):
         api.attributes(spark, paths, "/")
+
+
+@pytest.mark.parametrize("mode", ["late", "full"])
+def test_adaptive_plans_do_not_take_a_scan_for_its_ranges(spark, file, mode):
+    path = file(x=np.arange(20_000))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        few, known = api.read(spark, path, "/x", mode=mode).limit(25), api.read(spark, path, "/x", mode=mode).distinct()
+        joined = few.join(known.withColumn("known", F.lit(True)), "x", "left").agg(F.count("known").alias("n"))
+        assert joined.collect() == [(25,)]
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "isFinalPlan=true" in plan and "Broadcast" not in plan
+
+
+def test_limited_rows_come_from_files_of_partitions(spark):
+    from arrayloom.plans import catalog
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert len(catalog.order_key_files.__wrapped__(spark, "/root/testdata/sf0.001")) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (r,) = catalog.limit_rows(spark, "/root/testdata/sf0.001").collect()
+    assert (r.rows, r.in_table) == (25, True)
+
+
+def test_texts_of_a_heap_are_written_in_linear_time(tmp_path):
+    import time
+
+    w = Writer(str(tmp_path / "x.h5"))
+    began = time.process_time()
+    w.encode(np.array(["x" * 200] * 20_000, object), vlen_string())
+    assert time.process_time() - began < 2
