@@ -149,6 +149,21 @@ def test_bpe_of_any_text(tokenizer, own_bpe, text):
     agrees(tokenizer, own_bpe, text)
 
 
+@pytest.mark.parametrize("text", ["\u0300\u0d3b\u0300", "à\u0327\U0001e4ec\u0300 a\u0898\u0327", "\U00011935\U00011930", "ab\u088fcd \U000323b0x 1\U00011de0", "\ua7cb\ua7dc\U00010d50 \u1c89Σ"])
+def test_bpe_of_characters_of_other_unicode_versions(tokenizer, own_bpe, text):
+    agrees(tokenizer, own_bpe, text)
+    agrees(tokenizer, own_bpe, f"{text}<|endoftext|>It's {text}")
+
+
+def test_words_of_every_character(tokenizer, own_bpe):
+    letters = {v: k for k, v in own_bpe.letters.items()}
+    every = [chr(c) for c in range(0x40000) if not 0xD800 <= c < 0xE000] + [chr(c) for c in range(0xE0000, 0xE0400)]
+    for i in range(0, len(every), 2_000):
+        text = "".join(f"a{c} !{c} \u0300{c}\u0327\u0300 " for c in every[i : i + 2_000])
+        pieces = [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))]
+        assert own_bpe.words(text) == [bytes(letters[x] for x in p).decode() for p in pieces]
+
+
 def test_both_merges_agree(own_bpe):
     rng = random.Random(1)
     for _ in range(200):
