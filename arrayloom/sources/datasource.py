@@ -62,9 +62,9 @@ class ArraySource(DataSource):
         return ArrayReader(self.bound(), int(self.options.get("rangerows", RANGE_ROWS)))
 
     def streamReader(self, schema):
-        from arrayloom.streaming.tail import TailReader
+        from arrayloom.streaming.tail import TailReader, patiently
 
-        b = self.bound()
+        b = patiently(self.bound, self.options["path"])
         return TailReader(self.options["path"], tuple(parse_columns(self.options.get("columns", ""))), b.filename or False)
 
 
